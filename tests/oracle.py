@@ -1,0 +1,39 @@
+"""Compare a query with its SQL: column names, row count and all values."""
+
+import datetime
+from pathlib import Path
+
+import duckdb
+
+
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def canonical(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+
+    def text(value):
+        if isinstance(value, datetime.datetime):
+            assert value.tzinfo is None
+            return value.isoformat()
+        return repr(value)
+
+    return sorted(names), sorted(tuple(text(row[i]) for i in order) for row in rows)
+
+
+def mismatch(df, connection, sql):
+    """None when equal, else a short description."""
+    expected = connection.execute(sql)
+    names = [d[0] for d in expected.description]
+    want_names, want = canonical(names, expected.fetchall())
+    got_names, got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    if got_names != want_names:
+        return f"columns {got_names} != {want_names}"
+    if len(got) != len(want):
+        return f"{len(got)} rows != {len(want)}"
+    wrong = [(g, w) for g, w in zip(got, want) if g != w]
+    return f"{len(wrong)} of {len(want)} rows differ: {wrong[:2]}" if wrong else None

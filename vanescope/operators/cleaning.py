@@ -112,8 +112,17 @@ def _was_filled(measures: Sequence[str]) -> Column:
 
 
 def to_decimal(df: DataFrame, measures: Sequence[str], decimal: tuple[int, int]) -> DataFrame:
-    """Cast measures to a fixed-precision decimal, rounding half up."""
-    return df.withColumns({m: F.col(m).cast(DecimalType(*decimal)) for m in measures})
+    """Cast measures to a fixed-precision decimal, rounding half up.
+
+    Means of doubles differ in the last digits with the order of summation. A step
+    over six more decimals removes that, so that a value halfway between two
+    results rounds the same way on every run.
+    """
+    precision, scale = decimal
+    finer = DecimalType(min(38, precision + 12), min(38, scale + 6))
+    return df.withColumns(
+        {m: F.col(m).cast(finer).cast(DecimalType(precision, scale)) for m in measures}
+    )
 
 
 def clean(df: DataFrame, spec: SeriesSpec, flag: str | None = None) -> DataFrame:

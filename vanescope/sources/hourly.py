@@ -20,9 +20,17 @@ def hour_schema(sources: Mapping[str, Sequence[str]], time: str = "time") -> T.S
     )
 
 
-META_SCHEMA = T.StructType.fromDDL(
-    "cost bigint, dailyQuota bigint, `end` string, lat double, lng double, "
-    "params array<string>, requestCount bigint, `start` string"
+META_SCHEMA = T.StructType(
+    [
+        T.StructField("cost", T.LongType()),
+        T.StructField("dailyQuota", T.LongType()),
+        T.StructField("end", T.StringType()),
+        T.StructField("lat", T.DoubleType()),
+        T.StructField("lng", T.DoubleType()),
+        T.StructField("params", T.ArrayType(T.StringType())),
+        T.StructField("requestCount", T.LongType()),
+        T.StructField("start", T.StringType()),
+    ]
 )
 
 
