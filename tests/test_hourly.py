@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vanescope.functions.columns import source_columns, with_snake_case_names
 from vanescope.operators.context import attach_hourly, collapse_sources, flatten_hourly
 from vanescope.operators.reports import count_per_key, first_rows, in_order
+from vanescope.plans.hours import hourly_table
 from vanescope.sinks.files import write_json_lines
 from vanescope.sources import hourly
 
@@ -69,6 +70,17 @@ def test_lines_written_and_read_back(spark, document, tmp_path, schema):
     assert flat(hourly.read_hours(spark, str(tmp_path / "hours"), schema)) == FLAT
 
 
+@pytest.mark.parametrize("schema", [None, SCHEMA])
+def test_table_of_hours(spark, document, tmp_path, schema):
+    times = [f[0] for f in FLAT]
+    from_document = hourly_table(spark, document, hour=schema)
+    assert from_document.columns == NAMES
+    assert [r.time for r in from_document.collect()] == times
+    (tmp_path / "hours.json").write_text("\n".join(json.dumps(h) for h in HOURS[::-1]))
+    from_lines = hourly_table(spark, str(tmp_path / "hours.json"), hour=schema, documents=False)
+    assert from_lines.collect() == from_document.collect()
+
+
 def test_strings(spark):
     lines = spark.createDataFrame([(json.dumps(h),) for h in HOURS], "line string")
     inferred = hourly.infer_schema(lines, "line")

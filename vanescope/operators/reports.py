@@ -27,6 +27,11 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def some_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """Any n rows, to look at."""
+    return df.limit(n)
+
+
 def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """All rows sorted by the given columns.
 
