@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from vanescope.functions.columns import add_window
+from vanescope.functions.columns import add_window_start
 from vanescope.operators.anomalies import detect_anomalies
 from vanescope.operators.summary import summarize
 from vanescope.spec import TURBINE, SeriesSpec
@@ -88,7 +88,7 @@ def test_windows_align_to_the_utc_day(spark):
     df = frame(spark, [(1, datetime(2022, 6, 1, 23, 59, 59), 1.0), (1, datetime(2022, 6, 2), 2.0)])
     starts = [r.window_start for r in summarize(df, SPEC).orderBy("window_start").collect()]
     assert starts == [datetime(2022, 6, 1), datetime(2022, 6, 2)]
-    week = add_window(df, "t", "7 days").first().window_start
+    week = add_window_start(df, "t", "7 days").first().window_start
     assert week.weekday() == 3  # the epoch was a Thursday
 
 

@@ -30,19 +30,25 @@ def all_present(columns: Iterable[str]) -> Column:
     return condition
 
 
-def add_window(df: DataFrame, ts: str, period: str) -> DataFrame:
-    """Add ``window_start`` and ``window_end`` of the tumbling window of each row.
+def add_window_start(df: DataFrame, ts: str, period: str) -> DataFrame:
+    """Add the start of the tumbling window of each row.
 
     Windows are aligned to the UTC epoch. Rows without event time belong to no
     window and are left out.
     """
     return df.selectExpr("*", f"window(`{ts}`, '{period}') AS __window").selectExpr(
-        *[f"`{c}`" for c in df.columns],
-        f"__window.start AS {WINDOW_START}",
-        f"__window.end AS {WINDOW_END}",
+        *[f"`{c}`" for c in df.columns], f"__window.start AS {WINDOW_START}"
     )
 
 
+def add_window_end(df: DataFrame, period: str) -> DataFrame:
+    """Add the end of the window that starts at ``window_start``.
+
+    Taken from the start, so that groups and shuffles carry one time stamp, not two.
+    """
+    return df.selectExpr("*", f"window({WINDOW_START}, '{period}').end AS {WINDOW_END}")
+
+
 def hour_of(df: DataFrame, ts: str) -> Column:
     """Event time cut to the hour, in the type of the event time column."""
     return F.date_trunc("hour", F.col(ts)).cast(df.schema[ts].dataType)

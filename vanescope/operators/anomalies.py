@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanescope.functions.columns import WINDOW_END, WINDOW_START, add_window, all_present
+from vanescope.functions.columns import (
+    WINDOW_START,
+    add_window_end,
+    add_window_start,
+    all_present,
+)
 from vanescope.operators.grouped import attach_group_values
 from vanescope.operators.summary import summarize
 from vanescope.spec import SeriesSpec
@@ -39,7 +44,7 @@ def detect_anomalies(
     )
 
     # A reading without sensor has no baseline and can never be flagged.
-    rows = add_window(df.filter(all_present(spec.keys)), spec.ts, period)
+    rows = add_window_start(df.filter(all_present(spec.keys)), spec.ts, period)
     rows = attach_group_values(
         rows,
         baselines,
@@ -48,7 +53,7 @@ def detect_anomalies(
         size="reading_count",
         spread=[spec.ts],
     )
-    return rows.selectExpr(
+    found = rows.selectExpr(
         *[f"`{c}`" for c in spec.keys],
         *[f"`{c}`" for c in df.columns if c not in spec.keys],
         f"`{mean}`",
@@ -57,5 +62,5 @@ def detect_anomalies(
         f"`{mean}` + {float(k)}D * `{stddev}` AS `{upper}`",
         f"`{spec.target}` < `{lower}` OR `{spec.target}` > `{upper}` AS is_anomaly",
         WINDOW_START,
-        WINDOW_END,
     ).filter("is_anomaly")
+    return add_window_end(found, period)

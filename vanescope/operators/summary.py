@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanescope.functions.columns import WINDOW_END, WINDOW_START, add_window
+from vanescope.functions.columns import WINDOW_START, add_window_end, add_window_start
 from vanescope.spec import SeriesSpec
 
 
@@ -15,21 +15,20 @@ def summarize(df: DataFrame, spec: SeriesSpec, period: str = "1 day") -> DataFra
     ``reading_count`` counts rows, also those without a value.
     """
     value, label = spec.target, spec.label
-    return (
-        add_window(df.select(*spec.keys, spec.ts, value), spec.ts, period)
-        .groupBy(*spec.keys, WINDOW_START, WINDOW_END)
-        .agg(
-            F.min(value).alias(f"min_{label}"),
-            F.max(value).alias(f"max_{label}"),
-            F.avg(value).alias(f"avg_{label}"),
-            F.stddev_samp(value).alias(f"stddev_{label}"),
-            F.count("*").alias("reading_count"),
-        )
-        .select(
+    rows = add_window_start(df.select(*spec.keys, spec.ts, value), spec.ts, period)
+    groups = rows.groupBy(*spec.keys, WINDOW_START).agg(
+        F.min(value).alias(f"min_{label}"),
+        F.max(value).alias(f"max_{label}"),
+        F.avg(value).alias(f"avg_{label}"),
+        F.stddev_samp(value).alias(f"stddev_{label}"),
+        F.count("*").alias("reading_count"),
+    )
+    return add_window_end(
+        groups.select(
             *spec.keys,
             *[f"{s}_{label}" for s in ("min", "max", "avg", "stddev")],
             "reading_count",
             WINDOW_START,
-            WINDOW_END,
-        )
+        ),
+        period,
     )
