@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vanescope.functions.columns import (
     WINDOW_START,
@@ -35,13 +34,19 @@ def detect_anomalies(
 
     if summary is None:
         summary = summarize(df, spec, period)
-    baselines = summary.select(
-        *spec.keys,
+    # Only groups whose smallest or largest reading is out of bounds have anomalies.
+    # They are few, so mostly they can be broadcast where all groups could not.
+    baselines = summary.selectExpr(
+        *[f"`{c}`" for c in spec.keys],
         WINDOW_START,
-        F.col(f"avg_{label}").alias(mean),
-        stddev,
+        f"`avg_{label}` AS `{mean}`",
+        f"`{stddev}`",
+        f"`avg_{label}` - {float(k)}D * `{stddev}` AS `{lower}`",
+        f"`avg_{label}` + {float(k)}D * `{stddev}` AS `{upper}`",
+        f"`min_{label}` AS __min",
+        f"`max_{label}` AS __max",
         "reading_count",
-    )
+    ).filter(f"__min < `{lower}` OR __max > `{upper}`")
 
     # A reading without sensor has no baseline and can never be flagged.
     rows = add_window_start(df.filter(all_present(spec.keys)), spec.ts, period)
@@ -49,7 +54,7 @@ def detect_anomalies(
         rows,
         baselines,
         [*spec.keys, WINDOW_START],
-        [mean, stddev],
+        [mean, stddev, lower, upper],
         size="reading_count",
         spread=[spec.ts],
     )
@@ -58,8 +63,8 @@ def detect_anomalies(
         *[f"`{c}`" for c in df.columns if c not in spec.keys],
         f"`{mean}`",
         f"`{stddev}`",
-        f"`{mean}` - {float(k)}D * `{stddev}` AS `{lower}`",
-        f"`{mean}` + {float(k)}D * `{stddev}` AS `{upper}`",
+        f"`{lower}`",
+        f"`{upper}`",
         f"`{spec.target}` < `{lower}` OR `{spec.target}` > `{upper}` AS is_anomaly",
         WINDOW_START,
     ).filter("is_anomaly")

@@ -63,10 +63,11 @@ def null_out(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFr
 
 
 def group_means(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Mean of each measure and number of rows per group."""
+    """Mean of each measure, number of rows, and of rows that lack a measure, per group."""
     return df.groupBy(*keys).agg(
         *[F.avg(m).alias(f"mean_{m}") for m in measures],
         F.count("*").alias("reading_count"),
+        F.count_if(~all_present(measures)).alias("incomplete_count"),
     )
 
 
@@ -82,7 +83,8 @@ def impute_group_mean(
     A group without any value stays NULL. ``flag`` names an optional boolean
     column that is true where at least one measure was filled.
     """
-    means = group_means(df, keys, measures).select(
+    # Groups without gaps need no means.
+    means = group_means(df, keys, measures).filter("incomplete_count > 0").select(
         *keys,
         *[F.col(f"mean_{m}").alias(f"__mean_{m}") for m in measures],
         F.col("reading_count").alias("__group_rows"),

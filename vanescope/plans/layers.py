@@ -18,7 +18,7 @@ from vanescope.sinks.files import land_raw_files, write_parquet
 from vanescope.sources.readings import (
     CORRUPT,
     SOURCE_FILE,
-    TURBINE_SCHEMA,
+    READING_FIELDS,
     list_csv_files,
     read_readings,
     stamp,
@@ -66,7 +66,7 @@ class RunConfig:
 
     source: str
     base: str
-    schema: T.StructType = field(default_factory=lambda: TURBINE_SCHEMA)
+    schema: T.StructType = field(default_factory=lambda: READING_FIELDS)
     spec: SeriesSpec = TURBINE
     period: str = "1 day"
     k: float = 2.0

@@ -8,14 +8,16 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings used where the environment does not say otherwise.
+_DEFAULTS = {"POSTGRES_HOST": "localhost", "POSTGRES_PORT": "5432", "POSTGRES_USER": "postgres"}
+
+
 def postgres_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
     """Connection options from the POSTGRES_* environment variables."""
-    env = os.environ if env is None else env
-    host = env.get("POSTGRES_HOST", "localhost")
-    port = env.get("POSTGRES_PORT", "5432")
+    env = {**_DEFAULTS, **(os.environ if env is None else env)}
     return {
-        "url": f"jdbc:postgresql://{host}:{port}/{env['POSTGRES_DB']}",
-        "user": env.get("POSTGRES_USER", "postgres"),
+        "url": "jdbc:postgresql://{POSTGRES_HOST}:{POSTGRES_PORT}/{POSTGRES_DB}".format(**env),
+        "user": env["POSTGRES_USER"],
         "password": env.get("POSTGRES_PASSWORD", ""),
         "driver": "org.postgresql.Driver",
     }

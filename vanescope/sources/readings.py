@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 INGESTED_AT = "ingestion_timestamp"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-TURBINE_SCHEMA = T.StructType(
+# Time format and columns of the turbine readings.
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+READING_FIELDS = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("turbine_id", T.IntegerType()),
@@ -50,7 +51,7 @@ def list_csv_files(spark: SparkSession, directory: str) -> DataFrame:
 def read_readings(
     spark: SparkSession,
     directory: str,
-    schema: T.StructType = TURBINE_SCHEMA,
+    schema: T.StructType = READING_FIELDS,
     timestamp_format: str = TIMESTAMP_FORMAT,
     check_header: bool = False,
 ) -> DataFrame:

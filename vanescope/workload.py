@@ -394,11 +394,16 @@ def null_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "group_means",
-    f"SELECT user_id, {single_sql('avg(value)')} AS mean_value, count(*) AS reading_count "
-    "FROM events GROUP BY user_id",
+    f"SELECT user_id, {single_sql('avg(value)')} AS mean_value, count(*) AS reading_count, "
+    "count_if(value IS NULL) AS incomplete_count "
+    "FROM (SELECT user_id, CASE WHEN value BETWEEN 0 AND 100 THEN value END AS value FROM events) "
+    "GROUP BY user_id",
 )
 def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = cleaning.group_means(table(spark, sf_dir, "events"), ["user_id"], ["value"])
+    rows = table(spark, sf_dir, "events").select("user_id", "value")
+    means = cleaning.group_means(
+        cleaning.null_out(rows, BY_USER.bounds), ["user_id"], ["value"]
+    )
     return means.withColumns(single("mean_value"))
 
 
