@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -139,7 +140,8 @@ def test_range_is_inclusive_and_nan_is_outside(spark):
 
 
 def test_decimals_round_half_up(spark):
-    df = spark.sql("SELECT explode(array(1.00005D, -1.00005D, 34.07075D, 34.070749999999997D)) AS v")
+    values = "1.00005D, -1.00005D, 34.07075D, 34.070749999999997D"
+    df = spark.sql(f"SELECT explode(array({values})) AS v")
     got = [r[0] for r in cleaning.to_decimal(df, ["v"], (10, 4)).collect()]
     assert got == [Decimal("1.0001"), Decimal("-1.0001"), Decimal("34.0708"), Decimal("34.0708")]
 
@@ -155,9 +157,10 @@ def test_clean_shuffles_the_rows_once(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "rows"))
     plan = final_plan(cleaning.clean(spark.read.parquet(str(tmp_path / "rows")), SPEC))
     assert "SortMergeJoin" not in plan
-    # One exchange removes duplicates and is read twice; the others carry means only.
-    assert plan.count("- Exchange hashpartitioning(") == 3
-    assert plan.count("ReusedExchange") == 2
+    # The one exchange of the rows removes duplicates; means and filled rows both read it.
+    exchanges = dict(re.findall(r"Exchange hashpartitioning\((.*?), 8\).*?plan_id=(\d+)", plan))
+    rows_moved = {i for keys, i in exchanges.items() if keys.split(", ")[-1].startswith("t#")}
+    assert len(rows_moved) == 1 and len(set(exchanges.values())) <= 3
     assert "partial_min(struct(" in plan
 
 

@@ -52,12 +52,12 @@ def expected(rows):
 
 @pytest.mark.parametrize("setting", [{}, SHUFFLED, STATIC], ids=["default", "shuffled", "static"])
 @pytest.mark.parametrize("null_safe", [False, True])
-@pytest.mark.parametrize("heavy_groups", [1, 5, 4096])
-def test_values_are_those_of_the_group(spark, stored, setting, null_safe, heavy_groups):
+@pytest.mark.parametrize("heavy", [(100_000, 10_000), (1, 10_000), (1, 5), (101, 1)])
+def test_values_are_those_of_the_group(spark, stored, setting, null_safe, heavy):
     totals = expected(stored)
     with settings(spark, **setting):
         result = attach_group_values(
-            stored, grouped(stored), ["g"], ["total"], "n", ["id"], null_safe, heavy_groups
+            stored, grouped(stored), ["g"], ["total"], "n", ["id"], null_safe, *heavy
         ).collect()
     assert sorted(r.id for r in result) == list(range(60_000))
     for r in result:
@@ -65,7 +65,9 @@ def test_values_are_those_of_the_group(spark, stored, setting, null_safe, heavy_
 
 
 def test_rows_stay_where_they_are_when_groups_are_few(spark, stored):
-    df = attach_group_values(stored, grouped(stored), ["g"], ["total"], "n", ["id"])
+    df = attach_group_values(
+        stored, grouped(stored), ["g"], ["total"], "n", ["id"], heavy_rows=10_000
+    )
     plan = final_plan(df)
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
     # Shuffled: the partial sums, the table of groups. Its second use reads the same exchange.
@@ -73,12 +75,20 @@ def test_rows_stay_where_they_are_when_groups_are_few(spark, stored):
     assert plan.count("- Exchange hashpartitioning") == 2
 
 
+def test_without_heavy_groups_one_broadcast_remains(spark, stored):
+    plan = final_plan(
+        attach_group_values(stored, grouped(stored), ["g"], ["total"], "n", ["id"])
+    )
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    assert plan.count("- Exchange hashpartitioning") <= 2
+
+
 def test_rows_of_a_heavy_group_are_spread(spark, stored):
     with settings(
         spark, spark__sql__adaptive__coalescePartitions__enabled="false", **SHUFFLED
     ):
         df = attach_group_values(
-            stored, grouped(stored), ["g"], ["total"], "n", ["id"], heavy_groups=1
+            stored, grouped(stored), ["g"], ["total"], "n", ["id"], heavy_rows=10_000
         )
         assert "SortMergeJoin" in final_plan(df)
         sizes = [
@@ -100,7 +110,7 @@ def test_copies_of_one_row_are_spread_by_partition(spark, tmp_path):
         spark__sql__files__openCostInBytes="0",
         **SHUFFLED,
     ):
-        df = attach_group_values(rows, grouped(rows), ["g"], ["total"], "n", ["x"])
+        df = attach_group_values(rows, grouped(rows), ["g"], ["total"], "n", ["x"], heavy_rows=100)
         used = df.groupBy(F.spark_partition_id()).count().collect()
         assert len(used) > 2 and sum(r["count"] for r in used) == 8000
         assert {r.total for r in df.collect()} == {16000.0}

@@ -7,14 +7,14 @@ spread over them, and both are known only at run time:
 
 * The table of groups ends in an exchange of its own, so its true size is known
   before the rows move.
-* The ``HEAVY_GROUPS`` largest groups, a fixed number of lines, are broadcast.
-  Their rows take the values from there. The broadcast reads the exchange of the
-  groups, so the rows wait for it.
+* Groups of ``HEAVY_ROWS`` rows or more, the ``HEAVY_GROUPS`` largest of them and
+  so a bounded number of lines, are broadcast. Their rows take the values from
+  there. The broadcast reads the exchange of the groups, so the rows wait for it.
 * When the groups turn out to be small, adaptive execution broadcasts all of
   them and the rows are not shuffled at all. Otherwise rows and groups meet in
   a shuffled join in which the rows of heavy groups, needing no partner any
-  more, are spread over all partitions. Every other group is, by rank, smaller
-  than one ``HEAVY_GROUPS``-th of the table.
+  more, are spread over all partitions. Every other group has few rows or is, by
+  rank, smaller than one ``HEAVY_GROUPS``-th of the table.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_GROUPS = 4096
+HEAVY_ROWS = 100_000
+HEAVY_GROUPS = 10_000
 
 _SPREAD_RANGE = 1 << 30
 
@@ -37,6 +38,7 @@ def attach_group_values(
     size: str,
     spread: Sequence[str] = (),
     null_safe: bool = False,
+    heavy_rows: int = HEAVY_ROWS,
     heavy_groups: int = HEAVY_GROUPS,
 ) -> DataFrame:
     """Left join ``values`` of ``groups`` onto ``rows``.
@@ -60,8 +62,10 @@ def attach_group_values(
         *[f"`{c}` AS `__other_{c}`" for c in carried],
     ).repartition(*[f"__key_{k}" for k in keys], "__group_slot")
 
+    # The partition number keeps this filter above the exchange of the groups.
     heavy = (
-        groups.orderBy(F.desc(f"__other_{size}"), *[f"__key_{k}" for k in keys])
+        groups.filter(f"`__other_{size}` + 0 * spark_partition_id() >= {heavy_rows}")
+        .orderBy(F.desc(f"__other_{size}"), *[f"__key_{k}" for k in keys])
         .limit(heavy_groups)
         .selectExpr(
             *[f"`__key_{k}` AS `__heavy_key_{k}`" for k in keys],
