@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe
+from vanescope.llm import bpe, minhash
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -26,8 +26,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_min_max_hash": op2_min_max_hash,
 }
 
 SQL: dict[str, str] = {}
