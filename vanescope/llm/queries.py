@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, minhash
+from vanescope.llm import bpe, minhash, repeats
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,9 +31,16 @@ def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many repeat an earlier one, and a digest of the rest."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
+    "op5_repeats": op5_repeats,
 }
 
 SQL: dict[str, str] = {}
