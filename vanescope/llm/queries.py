@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, minhash, repeats
+from vanescope.llm import bpe, minhash, repeats, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,6 +31,12 @@ def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many repeat an earlier one, and a digest of the rest."""
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -40,7 +46,25 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
+    "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
