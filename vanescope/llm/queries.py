@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, minhash, repeats, topk
+from vanescope.llm import bpe, decontam, minhash, repeats, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -43,11 +43,17 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents, exact or edited: one row per document and item."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
     "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
+    "op10_leaks": op10_leaks,
 }
 
 SQL: dict[str, str] = {
