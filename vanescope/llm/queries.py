@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, minhash, repeats, topk
+from vanescope.llm import bpe, decontam, language, minhash, repeats, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -43,6 +43,19 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def held_out(modulus: int, rest: int) -> Column:
+    """Whether a document is kept from training."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == rest
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    documents = table(spark, sf_dir, "documents")
+    model = language.train(documents.where(~held_out(4, 2)))
+    found = language.identify(documents, model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in documents, exact or edited: one row per document and item."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -53,6 +66,7 @@ QUERIES = {
     "op2_min_max_hash": op2_min_max_hash,
     "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
+    "op6_language": op6_language,
     "op10_leaks": op10_leaks,
 }
 
