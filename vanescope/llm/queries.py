@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, language, minhash, repeats, topk
+from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(modulus: int, rest: int) -> Column:
+    """Whether a document is kept from training."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == rest
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to, as digests."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -31,6 +36,13 @@ def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labels."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    found = quality.classify(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every twentieth vector with all others."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -43,11 +55,6 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-def held_out(modulus: int, rest: int) -> Column:
-    """Whether a document is kept from training."""
-    return F.crc32(F.col("doc_id").cast("string")) % modulus == rest
-
-
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     documents = table(spark, sf_dir, "documents")
@@ -64,6 +71,7 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
+    "op3_quality": op3_quality,
     "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
     "op6_language": op6_language,
