@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk
+from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk, toxicity
+from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -63,6 +65,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from two thirds of the labels."""
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out(3, 1)))
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in documents, exact or edited: one row per document and item."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +85,7 @@ QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
     "op6_language": op6_language,
+    "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
 }
 
