@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk, toxicity
+from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk, toxicity, warc
 from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,6 +65,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to web archives and read back from them."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from two thirds of the labels."""
     documents = table(spark, sf_dir, "documents")
@@ -85,6 +91,7 @@ QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_repeats": op5_repeats,
     "op6_language": op6_language,
+    "op7_warc": op7_warc,
     "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
 }
@@ -106,4 +113,17 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op7_warc": """
+        WITH facts AS (
+            SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), first AS (
+            SELECT payload_digest, min(page_id) AS response FROM facts WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN response <> page_id THEN response END AS refers_to
+        FROM facts LEFT JOIN first USING (payload_digest)
+    """,
 }
