@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, language, minhash, quality, repeats, topk, toxicity, warc
+from vanescope.llm import bpe, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
 from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +71,23 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections in every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    starts, base = F.col("base.first_word"), F.col("base.label")
+    weight = F.coalesce(F.array_max("found.weight"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, "found.label")), ",").alias("labels"),
+        F.when(F.size("base") > 0, F.greatest(weight, F.lit(0.9))).otherwise(weight).alias("score"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from two thirds of the labels."""
     documents = table(spark, sf_dir, "documents")
@@ -92,6 +109,7 @@ QUERIES = {
     "op5_repeats": op5_repeats,
     "op6_language": op6_language,
     "op7_warc": op7_warc,
+    "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
 }
