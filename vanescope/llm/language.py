@@ -196,3 +196,18 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def with_language(df: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``df`` and a column ``name`` with the language of each row."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, bounds in chunks(batch.column(at).cast(pa.string())):
+                langs, _ = shared.value.score(data, bounds)
+                part = batch.slice(first, end - first)
+                yield pa.record_batch([*part.columns, pa.array(langs, pa.string())], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))

@@ -22,9 +22,8 @@ def held_out(modulus: int, rest: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus == rest
 
 
-def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and what they decode to, as digests."""
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY)
+def token_digests(encoded: DataFrame) -> DataFrame:
+    """Number of ids, digest of the ids and digest of what they decode to."""
     return bpe.decode(encoded, VOCABULARY).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -33,6 +32,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to, as digests."""
+    return token_digests(bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
 def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -204,12 +204,8 @@ def _remove(rows: DataFrame, schema: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``df``: id, ``n_words``, ``n_removed`` and ``kept_text``, the words that stay
-    joined by one space."""
-    rows = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    named = rows.where("id IS NOT NULL")
-
+def _removal(named: DataFrame) -> DataFrame:
+    """(id, covered, repeated): hashes of the anchors, and of the windows, by which a document loses words."""
     shared = (
         _seeds(named, with_spans=True)
         .groupBy("anchor")
@@ -235,8 +231,51 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         windows.join(first, "window").where("id > first")
         .groupBy("id").agg(F.collect_set("window").alias("repeated"))
     )
-    removal = (
-        listed.where(F.size("covered") > 0).select("id", "covered").join(repeated, "id", "full")
-    )
+    return listed.where(F.size("covered") > 0).select("id", "covered").join(repeated, "id", "full")
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``df``: id, ``n_words``, ``n_removed`` and ``kept_text``, the words that stay
+    joined by one space."""
+    rows = _texts(df, id_col, text_col)
+    removal = _removal(rows.where("id IS NOT NULL"))
     joined = _packed(rows).join(removal, "id", "left")
     return _remove(joined, "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col)
+
+
+def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``df`` with its columns and rows, texts without their repeats. A text that loses no word is
+    unchanged; of another the words that stay are joined by one blank, and ``size_col``, if there is such
+    a column, becomes the number of its characters."""
+    rows = _texts(df, id_col, text_col)
+    removal = _removal(rows.where("id IS NOT NULL")).withColumnsRenamed({"id": "__id", "covered": "__covered", "repeated": "__repeated"})
+    joined = df.join(removal, df[id_col].cast("long") == F.col("__id"), "left")
+    names, at, size_at = df.columns, df.columns.index(text_col), df.columns.index(size_col) if size_col in df.columns else None
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            covered, repeated = (batch.column(batch.schema.get_field_index(c)) for c in ("__covered", "__repeated"))
+            for first, end, data, bounds in chunks(batch.column(at).cast(pa.string())):
+                part = batch.slice(first, end - first)
+                columns = list(part.columns[: len(names)])
+                changed = {}
+                for row in range(first, end):
+                    if covered[row].is_valid or repeated[row].is_valid:
+                        text = bytes(data[bounds[row - first] : bounds[row - first + 1]])
+                        _, gone, kept = _cut(text, _listed(covered, row), _listed(repeated, row))
+                        if gone:
+                            changed[row - first] = kept.decode("utf-8", "replace")
+                if changed:
+                    for i, new in ((at, lambda t: t), (size_at, len)):
+                        if i is not None:
+                            values = columns[i].to_pylist()
+                            for row, text in changed.items():
+                                values[row] = new(text)
+                            columns[i] = pa.array(values, columns[i].type)
+                yield pa.record_batch(columns, names=names)
+
+    return joined.mapInArrow(run, df.schema)
