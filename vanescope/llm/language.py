@@ -74,7 +74,7 @@ class Model:
     """Flattened trees of all languages."""
 
     langs: list[str]
-    #: A small number for each byte value; 0 for those never seen.
+    #: A small number for each byte value, 0 for those never seen; NUL also stands before a text.
     symbols: np.ndarray
     #: Row of ``bits`` for the numbers of the ``ORDER`` bytes before.
     rows: np.ndarray
@@ -156,7 +156,7 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     names, grams, n = (listed.column(i).to_numpy(zero_copy_only=False) for i in range(3))
     langs = sorted(set(names))
     symbols = np.zeros(256, np.int32)
-    used = np.unique(grams & 255)
+    used = np.unique(np.append(grams & 255, 0))
     symbols[used] = np.arange(1, len(used) + 1)
     size = len(used) + 1
     number = np.zeros(len(grams), np.int64)

@@ -112,8 +112,8 @@ def sample_of(df: DataFrame, labels: DataFrame, label_col: str, id_col: str, tex
     chosen = known.where((F.xxhash64("id", F.lit(23)).bitwiseAND(F.lit((1 << 31) - 1)) / (1 << 31)) < share)
     rows = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
     # Of a bounded number of rows of two numbers each.
-    rows = rows.join(F.broadcast(chosen), "id").select("toxic", F.coalesce("text", F.lit("")).alias("text"))
-    rows = stored(rows.repartition(TASKS, F.xxhash64("text")), "labelled")
+    rows = rows.join(F.broadcast(chosen), "id").repartition(TASKS, F.xxhash64("id"))
+    rows = stored(rows.select("toxic", F.coalesce("text", F.lit("")).alias("text")), "labelled")
     by = {row[0]: row[1] for row in rows.groupBy("toxic").count().collect()}
     return rows, by.get(1, 0), by.get(0, 0)
 
