@@ -6,10 +6,13 @@ With ``BANDS`` of them a pair at the similarity limit of 0.85 meets in no bucket
 probability of (1 - 0.85 ** 4) ** 20, about 4e-7, which is the recall of the operator.
 
 * Equal sets are one class, found by a digest of the sorted set; only classes enter buckets.
-* Each bucket proposes its members to its smallest member, so a bucket of m members makes m - 1
-  pairs. They are confirmed on the full sets and joined into components.
-* Buckets whose members are in several components after that propose the pairs between those
-  components that are still open. Pairs that could only repeat a known connection are never made.
+* Each bucket proposes its members to one of them, the centre: that which shares most buckets with
+  others, as the original of many copies does. A bucket of m members makes m - 1 pairs. They are
+  confirmed on the full sets and joined into components.
+* Members that are not in their centre's component yet may still be linked with each other. They
+  are compared with the other members of the centre inside tasks, ``BLOCK`` by ``BLOCK`` at most,
+  by counting common shingles for a whole block at once; only links leave the task. Members in one
+  component are not compared, so groups of copies cost no pairs.
 
 The set of a document: distinct shingles of ``SHINGLE`` words, each a 64-bit hash; a text with
 fewer words has its whole sequence as one; a text without words, or NULL, has an empty set and is
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanescope.llm.components import connected_components
+from vanescope.llm.packed import packed_of, unpacked
 from vanescope.llm.stored import stored
 from vanescope.llm.text import Words, chunks, mix
 
@@ -40,6 +44,8 @@ BANDS = 20
 PER_BAND = 2
 #: Members that are compared with one copy of their centre's text.
 MEMBERS_PER_CENTRE = 64
+#: Members on either side of a comparison inside a task.
+BLOCK = 256
 
 _random = np.random.default_rng(20240103)
 _MASKS = _random.integers(0, 1 << 63, BANDS * PER_BAND, np.uint64)
@@ -98,20 +104,23 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>")
 
 
-def confirm(pairs: DataFrame, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough.
+def _set_of(text: bytes) -> np.ndarray:
+    return shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+
+
+def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets are similar enough; ``texts`` as ``packed`` gives them.
 
     Members of a pair are dealt out by their centre ``a`` and a salt, so that each copy of the
     centre's text serves ``MEMBERS_PER_CENTRE`` members at most on average, and a centre with
     very many members is spread over many tasks. One document is held at a time, besides the centre.
     """
-    texts = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_CENTRE).alias("salts"))
     salted = pairs.join(sizes, "a").select("a", "b", F.expr("pmod(xxhash64(b), salts)").alias("salt"))
-    members = salted.join(texts, F.col("b") == F.col("id")).select("a", "salt", "b", "text")
+    members = salted.join(texts, F.col("b") == F.col("id")).select("a", "salt", "b", "size", "packed")
     centres = (
         salted.select("a", "salt").distinct().join(texts, F.col("a") == F.col("id"))
-        .select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+        .select("a", "salt", F.lit(None).cast("long").alias("b"), "size", "packed")
     )
     dealt = centres.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
@@ -120,13 +129,14 @@ def confirm(pairs: DataFrame, df: DataFrame, id_col: str = "doc_id", text_col: s
         for batch in batches:
             a, salt, b = (batch.column(i).to_pylist() for i in range(3))
             linked = []
-            for first, end, data, bounds in chunks(batch.column(3)):
-                for i, own in zip(range(first, end), shingle_sets(data, bounds)):
-                    if b[i] is None:
-                        centre = [*centre, own] if key == (a[i], salt[i]) else [own]
-                        key = (a[i], salt[i])
-                    elif any(similar(other, own) for other in centre):
-                        linked.append((a[i], b[i]))
+            for i, text in unpacked(batch):
+                own = _set_of(text)
+                if b[i] is None:
+                    # Rows that repeat an id are texts of one document.
+                    centre = [*centre, own] if key == (a[i], salt[i]) else [own]
+                    key = (a[i], salt[i])
+                elif any(similar(other, own) for other in centre):
+                    linked.append((a[i], b[i]))
             yield pa.record_batch(
                 [pa.array([x for x, _ in linked], pa.int64()), pa.array([y for _, y in linked], pa.int64())], names=["a", "b"]
             )
@@ -143,42 +153,105 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= LINK_PERCENT * (small + large - both)
 
 
+def links_between(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of all linked pairs of non-empty sets. Shingles that many sets hold are counted as a
+    product of matrices, the others by their lists of holders."""
+    sizes = [np.array([len(s) for s in side]) for side in (x, y)]
+    values, place = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    of = np.repeat(np.arange(len(x) + len(y)), np.concatenate(sizes))
+    left = of < len(x)
+    held = [np.bincount(place[left], minlength=len(values)), np.bincount(place[~left], minlength=len(values))]
+    both = (held[0] > 0) & (held[1] > 0)
+    many = both & (held[0] + held[1] >= 32)
+    common = np.zeros((len(x), len(y)), np.float32)
+    column = np.cumsum(many) - 1
+    for part in range(0, int(many.sum()), 4096):
+        mine = many[place] & (column[place] >= part) & (column[place] < part + 4096)
+        dense = np.zeros((len(x) + len(y), 4096), np.float32)
+        dense[of[mine], column[place[mine]] - part] = 1
+        common += dense[: len(x)] @ dense[len(x) :].T
+    few = (both & ~many)[place]
+    order = np.argsort(place[few & left], kind="stable")
+    at, who = place[few & left][order], of[few & left][order]
+    first, last = np.searchsorted(at, place[few & ~left], "left"), np.searchsorted(at, place[few & ~left], "right")
+    count = last - first
+    rows = who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
+    np.add.at(common, (rows, np.repeat(of[few & ~left] - len(x), count)), 1)
+    together = sizes[0][:, None] + sizes[1] - common
+    return np.nonzero(100 * common.astype(np.int64) >= LINK_PERCENT * together.astype(np.int64))
+
+
+def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between members ``b`` of one centre ``a`` that are in different components."""
+    named = roots.withColumnRenamed("node", "b")
+    placed = stars.join(named, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
+    centres = roots.withColumnRenamed("node", "a").withColumnRenamed("root", "own")
+    placed = placed.join(centres, "a", "left").withColumn("outside", F.col("root") != F.coalesce("own", "a")).drop("own")
+    placed = stored(placed, "placed")
+    counts = placed.groupBy("a").agg(
+        F.ceil(F.count("*") / BLOCK).alias("columns"), F.ceil(F.count_if("outside") / BLOCK).alias("lines"), F.count_distinct("root").alias("roots")
+    )
+    open_ = placed.join(counts.where("roots > 1 AND lines > 0"), "a")
+    member = open_.selectExpr("a", "b", "root", "outside", "lines * columns = 1 AS whole", "lines", "pmod(xxhash64(b), columns) AS j")
+    member = member.withColumn("i", F.explode(F.expr("sequence(0L, lines - 1)"))).select("a", "i", "j", F.lit(1).alias("side"), "b", "root", "outside", "whole")
+    asking = open_.where("outside AND lines * columns > 1").selectExpr("a", "b", "root", "outside", "columns", "pmod(xxhash64(b, 7), lines) AS i")
+    asking = asking.withColumn("j", F.explode(F.expr("sequence(0L, columns - 1)"))).select(
+        "a", "i", "j", F.lit(0).alias("side"), "b", "root", "outside", F.lit(False).alias("whole")
+    )
+    dealt = member.union(asking).join(texts, F.col("b") == F.col("id")).drop("id")
+    dealt = dealt.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j", "side")
+
+    def compare(group: list[tuple], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        # A single block holds each member once; else the members that ask come on their own.
+        asking = [k for k, row in enumerate(group) if (row[6] if row[7] else row[3] == 0)]
+        members = [k for k, row in enumerate(group) if row[3] == 1]
+        if asking and members:
+            for i, j in zip(*links_between([sets[k] for k in asking], [sets[k] for k in members])):
+                x, y = group[asking[i]], group[members[j]]
+                if x[5] != y[5]:
+                    yield min(x[4], y[4]), max(x[4], y[4])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        sets: list[np.ndarray] = []
+        found: list[tuple[int, int]] = []
+        for batch in batches:
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(8))))
+            for i, text in unpacked(batch):
+                if group and group[0][:3] != rows[i][:3]:
+                    found.extend(compare(group, sets))
+                    group, sets = [], []
+                group.append(rows[i])
+                sets.append(_set_of(text))
+        found.extend(compare(group, sets))
+        yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``."""
     rows = stored(signatures(df, id_col, text_col), "signatures")
     some = rows.where("id IS NOT NULL AND n_shingles > 0")
     classes = stored(some.groupBy("digest").agg(F.min("id").alias("node")), "classes")
-    representatives = stored(
-        some.join(classes, (some.digest == classes.digest) & (some.id == classes.node)).select("node", "n_shingles", "bands"), "representatives"
-    )
-    buckets = representatives.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top")
-    stars = stored(
-        buckets.join(crowded.select("bucket", "a"), "bucket").where("node > a").select("a", F.col("node").alias("b")).distinct(), "stars"
-    )
-    edges = stored(confirm(stars, df, id_col, text_col), "links")
+    buckets = (
+        some.join(classes, (some.digest == classes.digest) & (some.id == classes.node))
+        .select("node", F.explode("bands").alias("bucket"))
+    )
+    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    crowd = stored(buckets.join(crowded.select("bucket", "members"), "bucket").distinct(), "crowd")
+    mates = crowd.groupBy("node").agg(F.sum("members").alias("mates"))
+    centres = crowd.join(mates, "node").groupBy("bucket").agg(F.max(F.struct("mates", (-F.col("node")).alias("node"))).alias("top"))
+    centres = centres.select("bucket", (-F.col("top.node")).alias("a"))
+    stars = stored(crowd.join(centres, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "stars")
+    nodes = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
+    every = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
+    texts = stored(packed_of(every, nodes), "texts")
+    edges = stored(confirm(stars, texts), "links")
     roots = stored(connected_components(edges), "roots")
-
-    # Pairs that the stars left open: in one bucket, but in different components so far.
-    crowd = buckets.join(crowded.select("bucket"), "bucket")
-    placed = crowd.join(roots, "node", "left").select("bucket", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    waiting = stored(placed.join(split.select("bucket"), "bucket"), "waiting")
-    x, y = waiting.alias("x"), waiting.alias("y")
-    near_size = (
-        f"100 * least(x.n_shingles, y.n_shingles) >= {LINK_PERCENT} * greatest(x.n_shingles, y.n_shingles)"
-    )
-    open_pairs = (
-        x.join(y, F.expr(f"x.bucket = y.bucket AND x.node < y.node AND x.root <> y.root AND {near_size}"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    open_pairs = stored(open_pairs, "open")
-    if not open_pairs.isEmpty():
-        more = stored(confirm(open_pairs, df, id_col, text_col), "links")
-        if not more.isEmpty():
-            roots = stored(connected_components(edges.union(more)), "roots")
+    more = stored(settle(stars, roots, texts), "links")
+    if not more.isEmpty():
+        roots = stored(connected_components(edges.union(more)), "roots")
 
     # Rows without a set get a key of their own, so that they don't meet in one task.
     own_key = F.coalesce(F.when(F.col("n_shingles") > 0, F.hex("digest")), F.concat(F.lit("-"), F.xxhash64("id").cast("string")))

@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanescope.llm.packed import packed, unpacked
 from vanescope.llm.stored import stored
 from vanescope.llm.text import SPACE_WORD, Words, _powers, chunks, mix
 
 WINDOW = 13
 ANCHOR = 5
 
-_CODEC = "zstd"
-
 
 def _smallest(h: np.ndarray, width: int) -> np.ndarray:
     """For each start, the leftmost position of the smallest of ``width`` values."""
@@ -111,31 +110,6 @@ def _seeds(rows: DataFrame, with_spans: bool) -> DataFrame:
     return rows.mapInArrow(run, "anchor long, span long, id long" if with_spans else "anchor long, id long")
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """Texts compressed, for the way through a shuffle."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec(_CODEC)
-        for batch in batches:
-            for first, end, data, bounds in chunks(batch.column(1)):
-                packed = [codec.compress(data[a:b], asbytes=True) for a, b in zip(bounds[:-1], bounds[1:])]
-                sizes = pa.array(np.diff(bounds))
-                yield pa.record_batch(
-                    [batch.column(0).slice(first, end - first), sizes, pa.array(packed, pa.binary())], names=["id", "size", "packed"]
-                )
-
-    return rows.mapInArrow(run, "id long, size long, packed binary")
-
-
-def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-    """Row number and text of each row."""
-    codec = pa.Codec(_CODEC)
-    size, packed = batch.schema.get_field_index("size"), batch.schema.get_field_index("packed")
-    for row in range(batch.num_rows):
-        n = batch.column(size)[row].as_py()
-        yield row, codec.decompress(batch.column(packed)[row].as_buffer(), n, asbytes=True) if n else b""
-
-
 def _single(text: bytes) -> Seeds:
     return Seeds(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
 
@@ -147,7 +121,7 @@ def _windows(rows: DataFrame) -> DataFrame:
         for batch in batches:
             found, of = [], []
             lists = batch.column(batch.schema.get_field_index("open"))
-            for row, text in _unpacked(batch):
+            for row, text in unpacked(batch):
                 seeds = _single(text)
                 use = np.isin(seeds.anchors, _listed(lists, row))[seeds.window_of]
                 own = np.unique(seeds.words.grams(WINDOW)[0][seeds.windows[use]])
@@ -186,7 +160,7 @@ def _remove(rows: DataFrame, schema: str) -> DataFrame:
         for batch in batches:
             covered, repeated = (batch.column(batch.schema.get_field_index(c)) for c in ("covered", "repeated"))
             out, first, size = [], 0, 0
-            for row, text in _unpacked(batch):
+            for row, text in unpacked(batch):
                 out.append(_cut(text, _listed(covered, row), _listed(repeated, row)))
                 size += len(text)
                 if size > 1 << 22 or row + 1 == batch.num_rows:
@@ -225,7 +199,7 @@ def _removal(named: DataFrame) -> DataFrame:
         "anchors",
     )
     undecided = listed.where(F.size("open") > 0).select("id", "open")
-    windows = stored(_windows(_packed(named).join(undecided, "id")), "windows")
+    windows = stored(_windows(packed(named).join(undecided, "id")), "windows")
     first = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     repeated = (
         windows.join(first, "window").where("id > first")
@@ -243,7 +217,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined by one space."""
     rows = _texts(df, id_col, text_col)
     removal = _removal(rows.where("id IS NOT NULL"))
-    joined = _packed(rows).join(removal, "id", "left")
+    joined = packed(rows).join(removal, "id", "left")
     return _remove(joined, "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col)
 
 
