@@ -7,14 +7,15 @@ spread over them, and both are known only at run time:
 
 * The table of groups ends in an exchange of its own, so its true size is known
   before the rows move.
-* Groups of ``HEAVY_ROWS`` rows or more, the ``HEAVY_GROUPS`` largest of them and
-  so a bounded number of lines, are broadcast. Their rows take the values from
-  there. The broadcast reads the exchange of the groups, so the rows wait for it.
+* Groups with more than their part of the rows, one ``HEAVY_SHARE``-th of what a
+  shuffle partition gets on average, are broadcast. There can be no more of them
+  than ``HEAVY_SHARE`` times the shuffle partitions, whatever the data. Their rows
+  take the values from there. The broadcast reads the exchange of the groups, so
+  the rows wait for it.
 * When the groups turn out to be small, adaptive execution broadcasts all of
   them and the rows are not shuffled at all. Otherwise rows and groups meet in
   a shuffled join in which the rows of heavy groups, needing no partner any
-  more, are spread over all partitions. Every other group has few rows or is, by
-  rank, smaller than one ``HEAVY_GROUPS``-th of the table.
+  more, are spread over all partitions. No other group outweighs a task.
 """
 
 from __future__ import annotations
@@ -24,8 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_ROWS = 100_000
-HEAVY_GROUPS = 10_000
+HEAVY_SHARE = 4
 
 _SPREAD_RANGE = 1 << 30
 
@@ -38,8 +38,7 @@ def attach_group_values(
     size: str,
     spread: Sequence[str] = (),
     null_safe: bool = False,
-    heavy_rows: int = HEAVY_ROWS,
-    heavy_groups: int = HEAVY_GROUPS,
+    heavy_share: float = HEAVY_SHARE,
 ) -> DataFrame:
     """Left join ``values`` of ``groups`` onto ``rows``.
 
@@ -62,15 +61,23 @@ def attach_group_values(
         *[f"`{c}` AS `__other_{c}`" for c in carried],
     ).repartition(*[f"__key_{k}" for k in keys], "__group_slot")
 
-    # The partition number keeps this filter above the exchange of the groups.
-    heavy = (
-        groups.filter(f"`__other_{size}` + 0 * spark_partition_id() >= {heavy_rows}")
-        .orderBy(F.desc(f"__other_{size}"), *[f"__key_{k}" for k in keys])
-        .limit(heavy_groups)
-        .selectExpr(
-            *[f"`__key_{k}` AS `__heavy_key_{k}`" for k in keys],
-            *[f"`__other_{c}` AS `__heavy_{c}`" for c in carried],
-        )
+    # All groups together have at least the rows of the heavy ones, which bounds their number.
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = groups.agg(
+        (F.sum(f"__other_{size}") / (heavy_share * partitions)).alias("__part"),
+        F.max("__group_slot").alias("__part_slot"),
+        F.max(F.xxhash64(*groups.columns)).alias("__part_mark"),
+    )
+    # The one line of ``part`` meets all groups on a slot that is 0 for each. The partition number
+    # keeps this join above the exchange of the groups; the mark makes all uses of the groups ask for
+    # the same columns, hence share one exchange.
+    slot_above = F.col("__group_slot") + F.lit(0) * F.spark_partition_id()
+    heavy = groups.withColumn("__slot_above", slot_above).join(
+        F.broadcast(part),
+        F.expr(f"__slot_above = __part_slot AND `__other_{size}` > __part AND __part_mark IS NOT NULL"),
+    ).selectExpr(
+        *[f"`__key_{k}` AS `__heavy_key_{k}`" for k in keys],
+        *[f"`__other_{c}` AS `__heavy_{c}`" for c in carried],
     )
 
     # Only the partition number and the row itself enter the slot, so a task
