@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -56,7 +55,6 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vanescope-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -100,9 +100,9 @@ def test_keep_one_is_independent_of_the_order_of_rows(spark):
     assert first.count() == len({(r[1], r[2]) for r in rows})
 
 
-def test_keep_one_prefers_null_then_smallest(spark):
+def test_keep_one_prefers_a_value_then_the_smallest(spark):
     df = spark.createDataFrame([(1, 3.0), (1, None), (2, 5.0), (2, 4.0)], "k int, v double")
-    assert dict(cleaning.keep_one_per_key(df, ["k"]).collect()) == {1: None, 2: 4.0}
+    assert dict(cleaning.keep_one_per_key(df, ["k"]).collect()) == {1: 3.0, 2: 4.0}
 
 
 def test_keep_one_needs_an_order(spark):
@@ -139,11 +139,18 @@ def test_range_is_inclusive_and_nan_is_outside(spark):
     assert [r[0] for r in got] == [0.0, 25.0, None, None, None, None]
 
 
-def test_decimals_round_half_up(spark):
-    values = "1.00005D, -1.00005D, 34.07075D, 34.070749999999997D"
+def test_decimals_round_half_up_once(spark):
+    values = "1.00005D, -1.00005D, 34.07075D, 34.070749999999997D, 1.000049999996D"
     df = spark.sql(f"SELECT explode(array({values})) AS v")
-    got = [r[0] for r in cleaning.to_decimal(df, ["v"], (10, 4)).collect()]
-    assert got == [Decimal("1.0001"), Decimal("-1.0001"), Decimal("34.0708"), Decimal("34.0708")]
+    got = [str(r[0]) for r in cleaning.to_decimal(df, ["v"], (10, 4)).collect()]
+    assert got == ["1.0001", "-1.0001", "34.0708", "34.0708", "1.0000"]
+
+
+def test_a_value_is_preferred_to_a_gap(spark):
+    rows = [(1, 10, None, 3.0), (1, 10, 5.0, None), (2, 10, None, None), (2, 10, None, 1.0)]
+    df = spark.createDataFrame(rows, "s int, t int, a double, b double")
+    got = sorted(tuple(r) for r in cleaning.keep_one_per_key(df, ["s", "t"]).collect())
+    assert got == [(1, 10, 5.0, None), (2, 10, None, 1.0)]
 
 
 def test_key_filter_reaches_the_scan(spark, tmp_path):
@@ -171,6 +178,7 @@ def test_copies_are_reduced_before_the_shuffle(spark, tmp_path):
     df = cleaning.keep_one_per_key(spark.read.parquet(str(tmp_path / "hot")), ["s", "t"])
     assert [tuple(r) for r in df.collect()] == [(1, 1, 0.0)]
     stages = final_plan(df)
-    assert "partial_min(struct(a" in stages
-    shuffled = df.select(F.spark_partition_id()).count()
-    assert shuffled == 1
+    assert "partial_min(struct(" in stages
+    # Six scans of 15,000 copies pass on one row each.
+    moved = re.findall(r"shuffle records written: (\d+)", stages)
+    assert all(int(n) <= 6 for n in moved)

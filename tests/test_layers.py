@@ -121,7 +121,9 @@ def test_bronze_keeps_lineage_and_raw_bytes(spark, run):
     assert bronze.select("ingestion_timestamp").distinct().count() == 1
     assert bronze.select("source_file").distinct().count() == 3
     raw = spark.read.parquet(layers.Layers(config.base).raw_files + "/files")
-    assert raw.filter("length = octet_length(content)").count() == 3
+    assert raw.filter("ends_with_line_feed").count() == raw.count() == 3
+    report = spark.read.parquet(layers.Layers(config.base).report)
+    assert report.count() == 4
 
 
 def test_tables_by_date_and_flag(spark, run, tmp_path):

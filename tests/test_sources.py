@@ -1,3 +1,4 @@
+from pathlib import Path
 from datetime import datetime, timezone
 
 import pytest
@@ -105,21 +106,39 @@ def test_run_time_is_one_value(spark):
 
 
 def test_raw_files_keep_every_byte(spark, csv_dir, tmp_path):
-    limit = 250
     (csv_dir / "large.csv").write_bytes(b"".join(b"%d;\xff;a\r\n" % i for i in range(400)))
-    land_raw_files(spark, str(csv_dir), str(tmp_path / "landed"), whole_file_limit=limit)
+    (csv_dir / "open end.csv").write_bytes(b"a\nb")
+    (csv_dir / "blank%.csv").write_bytes(b"\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        land_raw_files(spark, str(csv_dir), str(tmp_path / "landed"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     files = spark.read.parquet(str(tmp_path / "landed/files")).collect()
     lines = spark.read.parquet(str(tmp_path / "landed/lines")).orderBy(
         "path", "split_start", "line_in_split"
     )
-    content = {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in files}
+    content = {r.path: b"" for r in files}
     for row in lines.collect():
-        name = row.path.rsplit("/", 1)[1]
-        content[name] = content.get(name, b"") + bytes(row.line) + b"\n"
-    names = {"group_1.csv", "group_2.csv", "empty.csv", "large.csv"}
-    assert set(content) == names and {r.path.rsplit("/", 1)[1] for r in files} < names
-    for name in names:
-        assert content[name] == (csv_dir / name).read_bytes()
+        content[row.path] += bytes(row.line) + b"\n"
+    for r in files:
+        kept = content[r.path] if r.ends_with_line_feed else content[r.path][:-1]
+        assert len(kept) == r.length
+        assert kept == Path(r.path.removeprefix("file:")).read_bytes()
+    # Spark lists no file without a byte.
+    assert len(files) == len([f for f in csv_dir.glob("[!.]*.csv") if f.stat().st_size])
+
+
+def test_report_of_files_with_awkward_names(spark, tmp_path):
+    source = tmp_path / "my 100% dir"
+    source.mkdir()
+    (source / "a b%.csv").write_text("timestamp,turbine_id,wind_speed,wind_direction,power_output\n" * 2)
+    (source / "none.csv").write_text("timestamp,turbine_id,wind_speed,wind_direction,power_output\n")
+    read_readings(spark, str(source)).write.parquet(str(tmp_path / "bronze"))
+    report = ingest_report(
+        spark.read.parquet(str(tmp_path / "bronze")), files=list_csv_files(spark, str(source))
+    ).collect()
+    assert sorted((r.row_count, r.is_total) for r in report) == [(0, False), (1, False), (1, True)]
 
 
 def test_table_by_date_is_pruned_by_date(spark, tmp_path):

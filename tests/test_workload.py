@@ -10,6 +10,7 @@ from plan import static_plan
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__  # noqa: E402
+from vanescope import workload  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", list(workload.QUERIES))
 def test_query_equals_sql(spark, connection, name):
     df = __spark_entry__.queries()[name](spark, SF_DIR)
     assert mismatch(df, connection, __spark_entry__.oracle_sql()[name]) is None

@@ -28,7 +28,7 @@ def main(args: list[str]) -> None:
         database = postgres_options() if "POSTGRES_DB" in os.environ else None
         run(spark, RunConfig(source=source, base=target, database=database))
     else:
-        write_parquet(hourly_table(spark, source), target)
+        write_parquet(hourly_table(spark, source), target, sort_by=["time"])
 
 
 if __name__ == "__main__":

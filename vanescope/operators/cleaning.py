@@ -12,6 +12,9 @@ from vanescope.functions.columns import all_present, is_orderable, within
 from vanescope.operators.grouped import attach_group_values
 from vanescope.spec import SeriesSpec
 
+#: Decimals of a mean that fills a gap.
+MEAN_DECIMALS = 10
+
 
 def drop_missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows in which any key is NULL; nothing can recover them."""
@@ -23,6 +26,8 @@ def keep_one_per_key(
 ) -> DataFrame:
     """Keep the smallest row of each key, by ``tie_break`` and then by all other columns.
 
+    A missing value counts as larger than any other, so a reading is preferred to a gap.
+
     A minimum over whole rows: it is the same row on every run, and each map task
     passes on one row per key at most, however many copies it has seen.
     """
@@ -33,7 +38,8 @@ def keep_one_per_key(
         raise TypeError(f"cannot choose between duplicates by {unordered}: no order")
     if not order:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__kept"))
+    ranked = [x for c in order for x in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__kept"))
     return kept.select(
         *[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in df.columns]
     )
@@ -80,13 +86,14 @@ def impute_group_mean(
 ) -> DataFrame:
     """Fill missing measures with the mean of their group over its whole history.
 
-    A group without any value stays NULL. ``flag`` names an optional boolean
+    Means are rounded to ten decimals before they fill a gap: the order in which doubles are
+    added shows in their last digits only, so every run fills the same value. A group without any value stays NULL. ``flag`` names an optional boolean
     column that is true where at least one measure was filled.
     """
     # Groups without gaps need no means.
     means = group_means(df, keys, measures).filter("incomplete_count > 0").select(
         *keys,
-        *[F.col(f"mean_{m}").alias(f"__mean_{m}") for m in measures],
+        *[_steady(f"mean_{m}").alias(f"__mean_{m}") for m in measures],
         F.col("reading_count").alias("__group_rows"),
     )
     joined = attach_group_values(
@@ -106,6 +113,12 @@ def impute_group_mean(
     )
 
 
+def _steady(mean: str) -> Column:
+    # Means too large for that many decimals are left as they are.
+    rounded = F.col(mean).try_cast(DecimalType(18 + MEAN_DECIMALS, MEAN_DECIMALS))
+    return F.coalesce(rounded.cast("double"), F.col(mean))
+
+
 def _was_filled(measures: Sequence[str]) -> Column:
     filled = F.lit(False)
     for m in measures:
@@ -114,17 +127,8 @@ def _was_filled(measures: Sequence[str]) -> Column:
 
 
 def to_decimal(df: DataFrame, measures: Sequence[str], decimal: tuple[int, int]) -> DataFrame:
-    """Cast measures to a fixed-precision decimal, rounding half up.
-
-    Means of doubles differ in the last digits with the order of summation. A step
-    over six more decimals removes that, so that a value halfway between two
-    results rounds the same way on every run.
-    """
-    precision, scale = decimal
-    finer = DecimalType(min(38, precision + 12), min(38, scale + 6))
-    return df.withColumns(
-        {m: F.col(m).cast(finer).cast(DecimalType(precision, scale)) for m in measures}
-    )
+    """Cast measures to a fixed-precision decimal, rounding half up, once."""
+    return df.withColumns({m: F.col(m).cast(DecimalType(*decimal)) for m in measures})
 
 
 def clean(df: DataFrame, spec: SeriesSpec, flag: str | None = None) -> DataFrame:

@@ -35,13 +35,17 @@ def attach_hourly(
 ) -> DataFrame:
     """Add to each row the context of its hour; rows of hours without context get NULLs.
 
+    Context times are cut to the hour. Of several rows in one hour the earliest counts, and of
+    several with one time the smallest; to combine them otherwise, aggregate before.
+
     ``rows`` is read twice, once to count the rows per hour, so pass a stored table.
     """
     values = [c for c in context.columns if c != time]
     rows = rows.withColumn("__hour", hour_of(rows, ts))
-    context = context.withColumn("__hour", F.col(time).cast(rows.schema["__hour"].dataType))
+    of = hour_of(context.withColumn(time, F.col(time).cast(rows.schema[ts].dataType)), time)
+    context = context.withColumn("__hour", of.cast(rows.schema["__hour"].dataType))
     counts = rows.groupBy("__hour").agg(F.count("*").alias("__hour_rows"))
-    hours = keep_one_per_key(context.drop(time), ["__hour"]).join(counts, "__hour")
+    hours = keep_one_per_key(context, ["__hour"], [time]).drop(time).join(counts, "__hour")
     return attach_group_values(
         rows, hours, ["__hour"], values, size="__hour_rows", spread=[ts]
     ).drop("__hour")

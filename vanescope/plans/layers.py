@@ -47,6 +47,10 @@ class Layers:
     def bronze(self) -> str:
         return f"{self.base}/bronze/readings"
 
+    @property
+    def report(self) -> str:
+        return f"{self.base}/bronze/report"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver"
@@ -71,10 +75,12 @@ class RunConfig:
     period: str = "1 day"
     k: float = 2.0
     flag: str | None = None
-    by_date: bool = False
+    by_date: bool = True
+    mode: str = "overwrite"
     check_header: bool = False
     keep_raw_files: bool = True
     database: Mapping[str, str] | None = None
+    connections: int = 8
     run_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
 
@@ -85,8 +91,8 @@ def bronze(spark: SparkSession, config: RunConfig) -> DataFrame:
         spark, config.source, config.schema, check_header=config.check_header
     )
     if config.keep_raw_files:
-        land_raw_files(spark, config.source, layers.raw_files)
-    write_parquet(stamp(rows, config.run_time), layers.bronze)
+        land_raw_files(spark, config.source, layers.raw_files, mode=config.mode)
+    write_parquet(stamp(rows, config.run_time), layers.bronze, config.mode)
     return spark.read.parquet(layers.bronze)
 
 
@@ -105,7 +111,9 @@ def silver(spark: SparkSession, config: RunConfig) -> DataFrame:
     write_parquet(
         clean(rows, spec, config.flag),
         layers.silver,
+        config.mode,
         date_of=spec.ts if config.by_date else None,
+        sort_by=spec.reading_keys,
     )
     return spark.read.parquet(layers.silver)
 
@@ -117,15 +125,19 @@ def gold(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, DataFrame]:
     write_parquet(
         summarize(readings, spec, config.period),
         layers.summary,
+        config.mode,
+        date_of="window_start" if config.by_date else None,
         sort_by=[*spec.keys, "window_start"],
     )
-    summary = spark.read.parquet(layers.summary)
+    summary = spark.read.parquet(layers.summary).drop("reading_date")
     write_parquet(
         detect_anomalies(readings, spec, config.period, config.k, summary),
         layers.anomalies,
+        config.mode,
+        date_of=spec.ts if config.by_date else None,
         sort_by=spec.reading_keys,
     )
-    return summary, spark.read.parquet(layers.anomalies)
+    return summary, spark.read.parquet(layers.anomalies).drop("reading_date")
 
 
 def stored_tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
@@ -155,12 +167,18 @@ def publish(spark: SparkSession, config: RunConfig) -> None:
     tables = stored_tables(spark, config)
     for layer, name in SERVING_TABLES.items():
         # Quoted, as the names mix upper and lower case.
-        write_table(tables[layer].drop("reading_date"), f'"{name}"', config.database)
+        write_table(
+            tables[layer].drop("reading_date"), f'"{name}"', config.database, config.connections
+        )
 
 
 def run(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """CSV directory to Bronze, Silver and Gold, and to the database if configured."""
+    """CSV directory to Bronze, Silver and Gold, and to the database if configured.
+
+    The rows and malformed rows of each file are stored beside Bronze.
+    """
     bronze(spark, config)
+    write_parquet(bronze_report(spark, config), Layers(config.base).report, config.mode)
     silver(spark, config)
     summary, anomalies = gold(spark, config)
     if config.database is not None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WHOLE_FILE_LIMIT = 128 * 1024 * 1024
+from vanescope.sources.readings import path_of_row
 
 
 def write_parquet(
@@ -42,33 +42,19 @@ def land_raw_files(
     source: str,
     target: str,
     pattern: str = "*.csv",
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     mode: str = "overwrite",
 ) -> None:
-    """Keep the source files as they came, with path, time and length.
+    """Keep the source files as they came, whatever their size.
 
-    Files up to the limit become one row each under ``target/files``. Larger ones
-    would not fit a row; they become one row per line under ``target/lines``, in
-    splits, numbered in file order within each split.
+    ``target/lines`` has one row per line: path, first byte of the split it was read in, number
+    within the split, and the bytes of the line without its line feed. ``target/files`` has one row
+    per file that has a byte: path, time, length and whether the last line ends with a line feed.
+    Lines joined by line feeds, in order of split and number, and one more if the file says so, are the file.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source)
-    (
-        files.filter(F.col("length") <= whole_file_limit)
-        .select("path", "modificationTime", "length", "content")
-        .write.mode(mode)
-        .parquet(f"{target}/files")
-    )
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .option("pathGlobFilter", pattern)
-        .text(source)
-        .filter(F.col("_metadata.file_size") > whole_file_limit)
-    )
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(source)
     (
         lines.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_modification_time").alias("modificationTime"),
-            F.col("_metadata.file_size").alias("length"),
+            path_of_row().alias("path"),
             F.col("_metadata.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("line_in_split"),
             F.col("value").cast("binary").alias("line"),
@@ -76,3 +62,23 @@ def land_raw_files(
         .write.mode(mode)
         .parquet(f"{target}/lines")
     )
+    # Without the last line feed a file is one byte shorter than its lines and their ends.
+    landed = (
+        spark.read.parquet(f"{target}/lines")
+        .groupBy("path")
+        .agg(F.sum(F.octet_length("line") + 1).alias("__bytes"))
+        .withColumnRenamed("path", "__path")
+    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source)
+    files = files.select("path", "modificationTime", "length")
+    (
+        files.join(landed, F.col("path") == F.col("__path"), "left")
+        .select(
+            "path",
+            "modificationTime",
+            "length",
+            F.coalesce(F.col("__bytes") == F.col("length"), F.lit(False)).alias("ends_with_line_feed"),
+        )
+        .write.mode(mode)
+        .parquet(f"{target}/files")
+    )

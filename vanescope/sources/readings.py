@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,11 @@ READING_FIELDS = T.StructType(
 )
 
 
+def path_of_row() -> Column:
+    """Path of the file a row is read from, as a listing of files has it: without escapes."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def list_csv_files(spark: SparkSession, directory: str) -> DataFrame:
     """Paths of the CSV files of a directory, in a column ``source_file``.
 
@@ -74,7 +79,7 @@ def read_readings(
         .option("enforceSchema", not check_header)
         .option("pathGlobFilter", "*.csv")
         .csv(directory)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        .withColumn(SOURCE_FILE, path_of_row())
     )
 
 

@@ -1,6 +1,6 @@
 """The registered queries over the sample tables, each with the SQL it must agree with.
 
-Statistics are compared as single-precision values: engines add doubles in
+Statistics are compared to ``COMPARED_DECIMALS`` decimals: engines add doubles in
 different orders and differ in the last digits.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vanescope.functions.columns import hour_of, with_snake_case_names
 from vanescope.operators import anomalies, cleaning, context, reports, summary
-from vanescope.plans import layers
+from vanescope.plans import hours, layers
 from vanescope.shared import scratch_path
 from vanescope.sinks.files import land_raw_files, write_json_lines, write_parquet
 from vanescope.sources import hourly, readings
@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+COMPARED_DECIMALS = 7
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 BY_USER = SeriesSpec(
@@ -63,8 +64,8 @@ def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", hour_of(events, "ts").alias("ts"), "user_id", "value")
 
 
-def single(*columns: str) -> dict[str, F.Column]:
-    return {c: F.col(c).cast("float").cast("double") for c in columns}
+def rounded(*columns: str) -> dict[str, F.Column]:
+    return {c: F.round(F.col(c).cast("double"), COMPARED_DECIMALS) for c in columns}
 
 
 # SQL fragments
@@ -72,8 +73,8 @@ def single(*columns: str) -> dict[str, F.Column]:
 HOURLY_SQL = "SELECT event_id, date_trunc('hour', ts) AS ts, user_id, value FROM events"
 
 
-def single_sql(expression: str) -> str:
-    return f"CAST(CAST({expression} AS FLOAT) AS DOUBLE)"
+def rounded_sql(expression: str) -> str:
+    return f"round({expression}, {COMPARED_DECIMALS})"
 
 
 def bucket_sql(ts: str, period: str) -> str:
@@ -85,8 +86,8 @@ def summary_sql(source: str, key: str, ts: str, value: str, period: str) -> str:
         SELECT {key},
                min({value}) AS min_{value},
                max({value}) AS max_{value},
-               {single_sql(f"avg({value})")} AS avg_{value},
-               {single_sql(f"stddev_samp({value})")} AS stddev_{value},
+               {rounded_sql(f"avg({value})")} AS avg_{value},
+               {rounded_sql(f"stddev_samp({value})")} AS stddev_{value},
                count(*) AS reading_count,
                {bucket_sql(ts, period)} AS window_start,
                {bucket_sql(ts, period)} + INTERVAL '{period}' AS window_end
@@ -135,10 +136,10 @@ def anomalies_sql(
 ) -> str:
     return f"""
         SELECT {columns},
-               {single_sql("m")} AS mean_{value},
-               {single_sql("s")} AS stddev_{value},
-               {single_sql(f"m - {k} * s")} AS lower_bound_{value},
-               {single_sql(f"m + {k} * s")} AS upper_bound_{value},
+               {rounded_sql("m")} AS mean_{value},
+               {rounded_sql("s")} AS stddev_{value},
+               {rounded_sql(f"m - {k} * s")} AS lower_bound_{value},
+               {rounded_sql(f"m + {k} * s")} AS upper_bound_{value},
                TRUE AS is_anomaly,
                window_start,
                window_start + INTERVAL '{period}' AS window_end
@@ -148,7 +149,7 @@ def anomalies_sql(
 
 def anomaly_columns(df: DataFrame, value: str) -> DataFrame:
     return df.withColumns(
-        single(
+        rounded(
             f"mean_{value}", f"stddev_{value}", f"lower_bound_{value}", f"upper_bound_{value}"
         )
     )
@@ -172,8 +173,8 @@ def clean_sql(source: str) -> str:
             SELECT user_id, avg(value) AS mean FROM valid GROUP BY user_id
         )
         SELECT v.user_id, v.event_id, v.ts,
-               CAST(CAST(coalesce(v.value, m.mean) AS DECIMAL(22, 10)) AS DECIMAL(10, 4))
-                   AS value,
+               CASE WHEN v.value IS NOT NULL THEN CAST(v.value AS DECIMAL(10, 4))
+                    ELSE CAST(CAST(m.mean AS DECIMAL(22, 10)) AS DECIMAL(10, 4)) END AS value,
                v.value IS NULL AND m.mean IS NOT NULL AS is_imputed
         FROM valid v JOIN means m ON v.user_id = m.user_id
     """
@@ -185,13 +186,13 @@ def clean_sql(source: str) -> str:
 @register("summary_user_day", summary_sql("events", "user_id", "ts", "value", "1 day"))
 def summary_user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = summary.summarize(table(spark, sf_dir, "events"), BY_USER, "1 day")
-    return result.withColumns(single("avg_value", "stddev_value"))
+    return result.withColumns(rounded("avg_value", "stddev_value"))
 
 
 @register("summary_type_hour", summary_sql("events", "event_type", "ts", "value", "1 hour"))
 def summary_type_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = summary.summarize(table(spark, sf_dir, "events"), BY_TYPE, "1 hour")
-    return result.withColumns(single("avg_value", "stddev_value"))
+    return result.withColumns(rounded("avg_value", "stddev_value"))
 
 
 @register(
@@ -200,7 +201,7 @@ def summary_type_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def summary_supplier_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = summary.summarize(table(spark, sf_dir, "lineitem"), BY_SUPPLIER, "30 days")
-    return result.withColumns(single("avg_l_quantity", "stddev_l_quantity"))
+    return result.withColumns(rounded("avg_l_quantity", "stddev_l_quantity"))
 
 
 SUMMARY_OF_CLEAN = """
@@ -220,7 +221,7 @@ SUMMARY_OF_CLEAN = """
 def summary_of_clean_sql(source: str, period: str) -> str:
     return SUMMARY_OF_CLEAN.format(
         mean=DECIMAL_MEAN.format(value="value"),
-        stddev=single_sql("stddev_samp(CAST(value AS DOUBLE))"),
+        stddev=rounded_sql("stddev_samp(CAST(value AS DOUBLE))"),
         bucket=bucket_sql("ts", period),
         period=period,
         source=source,
@@ -229,7 +230,7 @@ def summary_of_clean_sql(source: str, period: str) -> str:
 
 def summary_of_clean_columns(df: DataFrame) -> DataFrame:
     doubles = {c: F.col(c).cast("double") for c in ("min_value", "max_value", "avg_value")}
-    return df.withColumns({**doubles, **single("stddev_value")})
+    return df.withColumns({**doubles, **rounded("stddev_value")})
 
 
 @register("summary_of_clean", summary_of_clean_sql(clean_sql(HOURLY_SQL), "1 day"))
@@ -246,7 +247,7 @@ def summary_of_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = summary.summarize(table(spark, sf_dir, "events"), BY_USER, "1 day")
     return reports.in_order(result, ["user_id", "window_start"]).withColumns(
-        single("avg_value", "stddev_value")
+        rounded("avg_value", "stddev_value")
     )
 
 
@@ -366,6 +367,37 @@ def keep_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.keep_one_per_key(table(spark, sf_dir, "lineitem"), LINE_KEYS)
 
 
+GAPPY = """
+    SELECT l_orderkey, l_linenumber, l_suppkey,
+           CASE WHEN l_quantity > 10 THEN l_quantity END AS l_quantity,
+           CASE WHEN l_returnflag <> 'A' THEN l_returnflag END AS l_returnflag
+    FROM {}
+"""
+
+
+@register(
+    "keep_one_with_gaps",
+    f"""
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_returnflag NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST
+        ) AS rn FROM ({GAPPY.format("lineitem")})
+    ) WHERE rn = 1
+    """,
+)
+def keep_one_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates of which some lack values: a value is preferred to a gap."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_suppkey",
+        "CASE WHEN l_quantity > 10 THEN l_quantity END AS l_quantity",
+        "CASE WHEN l_returnflag <> 'A' THEN l_returnflag END AS l_returnflag",
+    )
+    return cleaning.keep_one_per_key(rows, LINE_KEYS, ["l_returnflag"])
+
+
 DUPLICATES_SQL = """
     SELECT * EXCLUDE (copies) FROM (
         SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem
@@ -394,7 +426,7 @@ def null_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "group_means",
-    f"SELECT user_id, {single_sql('avg(value)')} AS mean_value, count(*) AS reading_count, "
+    f"SELECT user_id, {rounded_sql('avg(value)')} AS mean_value, count(*) AS reading_count, "
     "count_if(value IS NULL) AS incomplete_count "
     "FROM (SELECT user_id, CASE WHEN value BETWEEN 0 AND 100 THEN value END AS value FROM events) "
     "GROUP BY user_id",
@@ -404,7 +436,7 @@ def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = cleaning.group_means(
         cleaning.null_out(rows, BY_USER.bounds), ["user_id"], ["value"]
     )
-    return means.withColumns(single("mean_value"))
+    return means.withColumns(rounded("mean_value"))
 
 
 @register(
@@ -419,8 +451,8 @@ def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT l_suppkey, avg(l_quantity) AS mq, avg(l_discount) AS md FROM valid GROUP BY ALL
     )
     SELECT l_suppkey, l_orderkey, l_linenumber,
-           {single_sql("coalesce(l_quantity, mq)")} AS l_quantity,
-           {single_sql("coalesce(l_discount, md)")} AS l_discount,
+           {rounded_sql("coalesce(l_quantity, mq)")} AS l_quantity,
+           {rounded_sql("coalesce(l_discount, md)")} AS l_discount,
            (l_quantity IS NULL AND mq IS NOT NULL)
                OR (l_discount IS NULL AND md IS NOT NULL) AS is_imputed
     FROM valid JOIN means USING (l_suppkey)
@@ -438,13 +470,12 @@ def impute_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
         flag="is_imputed",
         spread=["l_orderkey", "l_linenumber"],
     )
-    return filled.withColumns(single("l_quantity", "l_discount"))
+    return filled.withColumns(rounded("l_quantity", "l_discount"))
 
 
 @register(
     "to_decimal",
-    "SELECT event_id, CAST(CAST(CAST(value / 3 AS DECIMAL(22, 10)) AS DECIMAL(10, 4)) AS DOUBLE) "
-    "AS value FROM events",
+    "SELECT event_id, CAST(CAST(value / 3 AS DECIMAL(10, 4)) AS DOUBLE) AS value FROM events",
 )
 def to_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("event_id", "value / 3 AS value")
@@ -486,22 +517,21 @@ CSV_SQL = """
 def write_csv(spark: SparkSession, sf_dir: str) -> str:
     """Events as CSV files. Errors get a foreign time format, large values a unit."""
     path = scratch_path(spark, "csv")
-    (
-        table(spark, sf_dir, "events")
-        .selectExpr(
-            "date_format(ts, IF(event_type = 'error', \"yyyy-MM-dd'T'HH:mm:ss\", "
-            "'yyyy-MM-dd HH:mm:ss')) AS ts",
-            "user_id",
-            "event_id",
-            "IF(value > 200, concat(value, ' kW'), CAST(value AS STRING)) AS value",
-        )
-        .repartition(8, "user_id")
-        .write.option("header", True)
-        .csv(path)
-    )
+    csv_lines(table(spark, sf_dir, "events")).write.option("header", True).csv(path)
     return path
 
 
+def csv_lines(events: DataFrame, *more: str) -> DataFrame:
+    return events.selectExpr(
+        "date_format(ts, IF(event_type = 'error', \"yyyy-MM-dd'T'HH:mm:ss\", "
+        "'yyyy-MM-dd HH:mm:ss')) AS ts",
+        "user_id",
+        "event_id",
+        "IF(value > 200, concat(value, ' kW'), CAST(value AS STRING)) AS value",
+        *more,
+    )
+
+
 def run_config(spark: SparkSession, sf_dir: str) -> layers.RunConfig:
     return layers.RunConfig(
         source=write_csv(spark, sf_dir),
@@ -541,6 +571,50 @@ def bronze_report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.filter("is_total").select("row_count", "corrupt_count")
 
 
+@register(
+    "bronze_report_files",
+    f"""
+    SELECT event_type, count(*) AS row_count, count_if(is_malformed) AS corrupt_count,
+           TRUE AS all_have_rows
+    FROM ({CSV_SQL}) JOIN (SELECT event_id, event_type FROM events) USING (event_id)
+    GROUP BY event_type
+    """,
+)
+def bronze_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines per file of the report, for files in folders with awkward names."""
+    source = scratch_path(spark, "csv by 100% type")
+    lines = csv_lines(table(spark, sf_dir, "events"), "event_type")
+    lines.write.partitionBy("event_type").option("header", True).csv(source)
+    config = layers.RunConfig(
+        source=source, base=scratch_path(spark, "layers"), schema=CSV_SCHEMA, spec=BY_USER,
+        keep_raw_files=False,
+    )
+    layers.bronze(spark, config)
+    report = layers.bronze_report(spark, config).filter("NOT is_total")
+    kind = F.regexp_extract(readings.SOURCE_FILE, "event_type=([^/]+)/", 1)
+    return report.groupBy(kind.alias("event_type")).agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("corrupt_count").alias("corrupt_count"),
+        F.bool_and(F.col("row_count") > 0).alias("all_have_rows"),
+    )
+
+
+@register(
+    "bronze_lineage",
+    "SELECT count(*) AS n, 1 AS run_times, TRUE AS at_run_time, TRUE AS from_csv FROM events",
+)
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored row names the time of the run and the file it came from."""
+    config = run_config(spark, sf_dir)
+    rows = layers.bronze(spark, config)
+    return rows.agg(
+        F.count("*").alias("n"),
+        F.count_distinct(readings.INGESTED_AT).cast("int").alias("run_times"),
+        F.bool_and(F.col(readings.INGESTED_AT) == F.lit(config.run_time)).alias("at_run_time"),
+        F.bool_and(F.col(readings.SOURCE_FILE).endswith(".csv")).alias("from_csv"),
+    )
+
+
 SILVER_SQL = clean_sql(CSV_SQL)
 
 
@@ -550,7 +624,7 @@ SILVER_SQL = clean_sql(CSV_SQL)
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = run_config(spark, sf_dir)
     layers.bronze(spark, config)
-    rows = layers.silver(spark, config).drop(readings.INGESTED_AT)
+    rows = layers.silver(spark, config).drop(readings.INGESTED_AT, "reading_date")
     return without_zone(rows, "ts").withColumn("value", F.col("value").cast("double"))
 
 
@@ -625,35 +699,41 @@ def serving_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_LINES_SQL = "SELECT concat_ws(',', event_id, user_id, event_type) AS line FROM events"
 
 
-def land_events(spark: SparkSession, sf_dir: str, whole_file_limit: int) -> str:
+def land_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Landed lines and files of events written as CSV."""
     source, target = scratch_path(spark, "raw"), scratch_path(spark, "landed")
-    (
-        table(spark, sf_dir, "events")
-        .select("event_id", "user_id", "event_type")
-        .repartition(8, "user_id")
-        .write.csv(source)
-    )
-    land_raw_files(spark, source, target, whole_file_limit=whole_file_limit)
-    return target
-
-
-@register("raw_files", RAW_LINES_SQL)
-def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of files that were landed whole."""
-    landed = spark.read.parquet(f"{land_events(spark, sf_dir, 1 << 27)}/files")
-    text = F.decode("content", "UTF-8")
-    return (
-        landed.filter(F.octet_length("content") == F.col("length"))
-        .select(F.explode(F.split(text, "\n")).alias("line"))
-        .filter("line <> ''")
-    )
+    table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").write.csv(source)
+    land_raw_files(spark, source, target)
+    return spark.read.parquet(f"{target}/lines"), spark.read.parquet(f"{target}/files")
 
 
 @register("raw_lines", RAW_LINES_SQL)
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of files that are too large to be landed whole."""
-    landed = spark.read.parquet(f"{land_events(spark, sf_dir, 0)}/lines")
-    return landed.select(F.decode("line", "UTF-8").alias("line"))
+    lines, _ = land_events(spark, sf_dir)
+    return lines.select(F.decode("line", "UTF-8").alias("line"))
+
+
+@register(
+    "raw_files",
+    "SELECT CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS bytes, "
+    f"count(*) AS n_lines, TRUE AS complete FROM ({RAW_LINES_SQL})",
+)
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all files, as they were and as their lines add up to."""
+    lines, files = land_events(spark, sf_dir)
+    per_file = lines.groupBy("path").agg(
+        F.sum(F.octet_length("line") + 1).alias("landed"), F.count("*").alias("n")
+    )
+    return (
+        files.join(per_file, "path", "left")
+        .agg(
+            F.sum("length").alias("bytes"),
+            F.sum("n").alias("n_lines"),
+            F.bool_and(F.col("landed") - F.expr("IF(ends_with_line_feed, 0, 1)") == F.col("length")).alias(
+                "complete"
+            ),
+        )
+    )
 
 
 REPORTED = {
@@ -699,7 +779,7 @@ HOUR_SCHEMA = hourly.hour_schema(SOURCES)
 BY_HOUR_SQL = (
     "SELECT date_trunc('hour', ts) AS time, "
     + ", ".join(
-        f"{single_sql(f'avg(value) FILTER (event_type = {t!r})')} AS mean_{t}_avg, "
+        f"{rounded_sql(f'avg(value) FILTER (event_type = {t!r})')} AS mean_{t}_avg, "
         f"max(value) FILTER (event_type = {t!r}) AS peak_{t}_max"
         for t in EVENT_TYPES
     )
@@ -713,18 +793,18 @@ def hourly_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_type = {
         t: F.when(F.col("event_type") == t, F.col("value")) for t in EVENT_TYPES
     }
-    hours = events.groupBy(hour_of(events, "ts").alias("hour")).agg(
+    per_hour = events.groupBy(hour_of(events, "ts").alias("hour")).agg(
         F.struct(*[F.avg(v).alias(f"{t}:avg") for t, v in per_type.items()]).alias("mean"),
         F.struct(*[F.max(v).alias(f"{t}:max") for t, v in per_type.items()]).alias("peak"),
     )
     time = F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    return hours.select(time.alias("time"), "mean", "peak")
+    return per_hour.select(time.alias("time"), "mean", "peak")
 
 
-def flat_hours(hours: DataFrame) -> DataFrame:
-    flat = context.flatten_hourly(hours, ["mean", "peak"])
+def flat_hours(rows: DataFrame) -> DataFrame:
+    flat = context.flatten_hourly(rows, ["mean", "peak"])
     return without_zone(flat, "time").withColumns(
-        single(*[f"mean_{t}_avg" for t in EVENT_TYPES])
+        rounded(*[f"mean_{t}_avg" for t in EVENT_TYPES])
     )
 
 
@@ -750,8 +830,8 @@ def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_documents(spark: SparkSession, sf_dir: str) -> str:
     """One document per day: its hours, 24 at most, and a record about them."""
-    hours = hourly_context(spark, sf_dir).withColumn("day", F.substring("time", 1, 10))
-    documents = hours.groupBy("day").agg(
+    dated = hourly_context(spark, sf_dir).withColumn("day", F.substring("time", 1, 10))
+    documents = dated.groupBy("day").agg(
         F.collect_list(F.struct("time", "mean", "peak")).alias("hours"),
         F.struct(
             F.count("*").alias("cost"),
@@ -776,6 +856,18 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_hours(hourly.hours_of(documents))
 
 
+@register("hourly_job", BY_HOUR_SQL)
+def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to the flat table of the job, stored and read back."""
+    target = scratch_path(spark, "hourly")
+    flat = hours.hourly_table(
+        spark, write_documents(spark, sf_dir), ["mean", "peak"], HOUR_SCHEMA, one_per_file=False
+    )
+    write_parquet(flat, target, sort_by=["time"])
+    stored = without_zone(spark.read.parquet(target), "time")
+    return stored.withColumns(rounded(*[f"mean_{t}_avg" for t in EVENT_TYPES]))
+
+
 @register(
     "json_metadata",
     """
@@ -817,8 +909,8 @@ def json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ") AS peak FROM events GROUP BY date_trunc('hour', ts)",
 )
 def collapse_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = hourly_context(spark, sf_dir)
-    return without_zone(context.collapse_sources(hours, ["peak"], "signup:max"), "time")
+    per_hour = hourly_context(spark, sf_dir)
+    return without_zone(context.collapse_sources(per_hour, ["peak"], "signup:max"), "time")
 
 
 @register(
@@ -897,7 +989,7 @@ def anomalies_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = summary.summarize(table(spark, sf_dir, "events"), BY_USER, "1 day")
     return reports.first_rows(result, ["user_id", "window_start"], 25).withColumns(
-        single("avg_value", "stddev_value")
+        rounded("avg_value", "stddev_value")
     )
 
 
