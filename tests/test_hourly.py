@@ -137,3 +137,13 @@ def test_orders_and_counts(spark):
     assert rows == sorted(rows)
     assert [tuple(r) for r in first_rows(df, ["k", "id"], 3).collect()] == rows[:3]
     assert [tuple(r) for r in count_per_key(df, ["k"]).collect()] == [(0, 14), (1, 13), (2, 13)]
+
+
+def test_context_off_the_hour_counts_for_its_hour(spark):
+    rows = spark.sql("SELECT id, timestamp'2024-01-01 00:10:00' + make_interval(0,0,0,0,id) AS t FROM range(3)")
+    context = spark.sql(
+        "SELECT * FROM VALUES (timestamp'2024-01-01 00:45:00', 1.0D), (timestamp'2024-01-01 00:30:00', 5.0D),"
+        " (timestamp'2024-01-01 00:30:00', 4.0D), (timestamp'2024-01-01 01:59:59', 7.0D) AS v(time, peak)"
+    )
+    got = {r.id: r.peak for r in attach_hourly(rows, context, "t").collect()}
+    assert got == {0: 4.0, 1: 7.0, 2: None}
