@@ -47,3 +47,46 @@ def test_awkward_documents(spark, awkward, empty):
             df = spark.createDataFrame(df.collect(), awkward.schema)
         tokens = corpus_pipeline.STAGES[-1][1](spark, df, SF_DIR)
         assert tokens.count() == df.count() <= len(AWKWARD)
+
+
+def test_result_equals_brute_force(spark):
+    import hashlib
+
+    import public_tokenizers
+    import test_decontam
+    import test_minhash
+    import test_repeats
+    import tiktoken
+
+    from vanescope.llm import bpe
+
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    items = [(r.item_id, test_decontam.words_of(r.text)) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    docs = [(i, t) for i, t in docs if t and any(c.isalpha() for c in t)]
+    component = test_minhash.expected(docs)
+    docs = [(i, t) for i, t in docs if component[i] == i]
+    cut = {int(i): kept for i, _, gone, kept in test_repeats.expected(docs) if gone}
+    docs = [(i, cut.get(i, t)) for i, t in docs]
+
+    def leaks(text):
+        words = test_decontam.words_of(text)
+        for _, item in items:
+            n = len(item)
+            for at in range(len(words) - n + 1):
+                # Most windows share too few words with the item to be within its edits.
+                window = words[at : at + n]
+                if len(set(window) & set(item)) >= len(set(item)) - n // 5 and test_decontam.distance(window, item) <= n // 5:
+                    return True
+        return False
+
+    docs = [(i, t) for i, t in docs if not leaks(t)]
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(queries.VOCABULARY), special_tokens={}
+    )
+    want = {}
+    for i, t in docs:
+        ids = library.encode_ordinary(t)
+        raw = b"".join(x.to_bytes(4, "little") for x in ids)
+        want[i] = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF_DIR).collect()}
+    assert got == want
