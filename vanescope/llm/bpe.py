@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from vanescope.llm.text import chunks
 
 #: Entries that a worker keeps in each of its two tables of known pre-tokens, and the longest kept.
-KNOWN_ENTRIES = 500_000
+KNOWN_ENTRIES = 150_000
 KNOWN_CHARS = 48
 #: Pre-tokens that share one queue; few enough for its lists to stay in the processor's cache.
 SHARED_TOKENS = 500
@@ -229,7 +229,6 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int]):
         self.pre = PreTokenizer()
         self.merger = Merger(ranks)
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -251,20 +250,31 @@ class Codec:
             self.young, self.old = {}, self.young
         return packed
 
+    def forget(self) -> None:
+        """Empty the tables: a worker that has nothing more to encode keeps no memory for it."""
+        self.young, self.old = {}, {}
+
+
+class Decoder:
+    """Tokens of one vocabulary by id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {rank: token for token, rank in ranks.items()}
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-_codecs: dict[str, Codec] = {}
+_built: dict[tuple[type, str], Codec | Decoder] = {}
 
 
-def _codec(lines: bytes) -> Codec:
-    """The codec of this worker, built once per vocabulary."""
-    name = hashlib.md5(lines).hexdigest()
-    if name not in _codecs:
-        _codecs.clear()
-        _codecs[name] = Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())})
-    return _codecs[name]
+def _of(kind: type, lines: bytes) -> Codec | Decoder:
+    """The codec or decoder of this worker, built once per vocabulary."""
+    name = kind, hashlib.md5(lines).hexdigest()
+    if name not in _built:
+        _built.clear()
+        _built[name] = kind({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())})
+    return _built[name]
 
 
 def _text(value: memoryview) -> str:
@@ -284,13 +294,14 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     shared = df.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
+        codec = _of(Codec, shared.value)
         for batch in batches:
             for first, end, data, bounds in chunks(batch.column(1)):
                 packed = codec.encode([_text(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:])])
                 yield pa.record_batch(
                     [batch.column(0).slice(first, end - first), pa.array(packed, pa.binary())], names=["id", "ids"]
                 )
+        codec.forget()
 
     kind = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("ids", T.BinaryType())])
@@ -303,7 +314,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
+        codec = _of(Decoder, shared.value)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
             for first in range(0, batch.num_rows, 256):

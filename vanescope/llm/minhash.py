@@ -173,10 +173,14 @@ def links_between(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray,
     few = (both & ~many)[place]
     order = np.argsort(place[few & left], kind="stable")
     at, who = place[few & left][order], of[few & left][order]
-    first, last = np.searchsorted(at, place[few & ~left], "left"), np.searchsorted(at, place[few & ~left], "right")
-    count = last - first
-    rows = who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
-    np.add.at(common, (rows, np.repeat(of[few & ~left] - len(x), count)), 1)
+    asked, their = place[few & ~left], of[few & ~left] - len(x)
+    # Each has fewer than 32 holders on the other side, so a part makes two million pairs at most.
+    for part in range(0, len(asked), 1 << 16):
+        own = asked[part : part + (1 << 16)]
+        first, count = np.searchsorted(at, own, "left"), np.searchsorted(at, own, "right")
+        count -= first
+        rows = who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
+        np.add.at(common, (rows, np.repeat(their[part : part + (1 << 16)], count)), 1)
     together = sizes[0][:, None] + sizes[1] - common
     return np.nonzero(100 * common.astype(np.int64) >= LINK_PERCENT * together.astype(np.int64))
 
