@@ -96,3 +96,56 @@ def test_equal_windows_have_equal_walks():
     words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM_WORD)
     walks = decontam.embed(words.hashes, np.array([0, 8, 1]), np.array([8, 8, 8]))
     assert (walks[0] == walks[1]).all() and (walks[0] != walks[2]).any()
+
+
+def edited(pick, own):
+    """A copy with as many edits of all kinds as make a leak at most."""
+    own = list(own)
+    for k in range(len(own) // 5):
+        at, kind = pick.randrange(len(own)), pick.randrange(3)
+        own[at : at + (kind != 1)] = [f"new{k}"] if kind != 2 else []
+    return own
+
+
+def joined(texts):
+    raw = [t.encode() for t in texts]
+    return Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]), ALNUM_WORD)
+
+
+def share_found(pick, sizes, trials, others=()):
+    """Share of edited copies, inside of documents, that the items of these sizes are found in."""
+    items = [[f"i{k}w{pick.randrange(2000)}" for _ in range(n)] for k, n in enumerate(sizes)]
+    index = decontam.Index([*range(len(items)), *range(10_000, 10_000 + len(others))], [" ".join(x) for x in [*items, *others]])
+    want, texts = set(), []
+    for k, own in enumerate(items):
+        for _ in range(trials):
+            want.add((len(texts), k))
+            around = [[f"f{pick.randrange(5000)}" for _ in range(100)] for _ in range(2)]
+            texts.append(" ".join([*around[0], *edited(pick, own), *around[1]]) + "\n")
+    document, item = index.leaks(joined(texts))[:2]
+    return len(want & set(zip(document.tolist(), item.tolist()))) / len(want)
+
+
+@pytest.mark.parametrize("n", (15, 20, 30, 59))
+def test_copies_with_edits_of_all_kinds_are_found(n):
+    assert share_found(random.Random(n), [n] * 8, 15) >= 0.95
+
+
+def test_documents_shorter_than_the_item_are_searched():
+    items = [[f"i{k}w{j}" for j in range(20)] for k in range(6)]
+    index = decontam.Index(list(range(6)), [" ".join(x) for x in items])
+    # Whole documents: the item less a word or less four; or its end cut off by the document's end.
+    texts = [" ".join(x[:7] + x[8:]) for x in items[:2]] + [" ".join(x[2:-2]) for x in items[2:4]] + ["a b c " + " ".join(x[:-3]) for x in items[4:]]
+    document, item, first, size, distance = index.leaks(joined([t + "\n" for t in texts]))
+    got = list(zip(*(x.tolist() for x in (document, item, first, size, distance))))
+    assert got == [(0, 0, 0, 19, 1), (1, 1, 0, 19, 1), (2, 2, 0, 16, 4), (3, 3, 0, 16, 4), (4, 4, 3, 17, 3), (5, 5, 3, 17, 3)]
+
+
+def test_best_runs_equal_plain_ones():
+    pick = random.Random(12)
+    x = [[pick.randrange(5) for _ in range(7)] for _ in range(30)]
+    y = [[pick.randrange(5) for _ in range(14)] for _ in range(30)]
+    size = [pick.randint(5, 14) for _ in range(30)]
+    got = list(zip(*(v.tolist() for v in decontam.best_runs(np.array(x), np.array(y), np.array(size)))))
+    for a, b, n, run in zip(x, y, size, got):
+        assert run == min((distance(a, b[s:e]), s, e) for s in range(n + 1) for e in range(s, n + 1))

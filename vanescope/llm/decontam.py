@@ -1,24 +1,26 @@
 """Benchmark items found in documents under edits, by CGK embedding and bit-sampling LSH.
 
-A leak is a window of as many words as an item has, at most one edit per ``WORDS_PER_EDIT`` words
+A leak is a run of words, of any length, at most one edit per ``WORDS_PER_EDIT`` words of the item
 from the item, where an edit inserts, deletes or replaces a word. Words are runs of letters and
 digits, A-Z lower-cased, so punctuation and line breaks do not matter.
 
 * Windows. Each edit spoils three of an item's word triples at most, so a leak keeps a known number
-  of triples. Every word position of every document is tested; windows of an item's length that
-  hold too few triples of any item cannot be a leak and are passed over. This test loses nothing.
+  of triples. Every word position of every document is tested; where too few triples of any item
+  lie within its words and edits there cannot be a leak. This test loses nothing. From each place
+  where a leak may start a window of the item's words is taken, or what the document still has.
 * CGK embedding. A window is walked ``3 * words`` steps; each step emits the current word and a
   random bit of step and word says whether to go on to the next. Two walks over similar texts meet
   again after an edit, so edits become few differing places: edit distance becomes Hamming distance.
 * Bit sampling. Sampled places of each walk hash to a key. Items have the same keys. Their number
   per walk is set by trial: items with the allowed number of random edits must share a key with
   their originals in at least ``RECALL`` of all cases.
-* Candidates that share a key are verified by exact edit distance.
+* Candidates that share a key are verified with the words around them, as many on either side as
+  there may be edits, by the least edit distance of any run of these words.
 
 Items are sent to the executors in slices of bounded size; documents are never shuffled.
 
-Defined results: one row per document and item, with the best window, the first one if several are
-as good. NULL or empty texts have no windows. Items with fewer than ``MIN_WORDS`` words, or without
+Defined results: one row per document and item, with the best run, the first one if several are
+as good, and the shortest of those. NULL or empty texts have no windows. Items with fewer than ``MIN_WORDS`` words, or without
 id or text, say too little to tell a leak and are not searched. Items may repeat.
 Rows without id are searched too and keep their NULL.
 """
@@ -45,6 +47,8 @@ MAX_KEYS_PER_WALK = 32
 SLICE_BYTES = 8 << 20
 #: Windows that are embedded at a time.
 WINDOWS_AT_ONCE = 512
+#: Words of documents that are aligned at a time, or one longer region.
+ALIGNED_AT_ONCE = 1 << 17
 
 _FILTER_BITS = 22
 _random = np.random.default_rng(20240104)
@@ -57,9 +61,9 @@ def edits(n_words: np.ndarray) -> np.ndarray:
     return n_words // WORDS_PER_EDIT
 
 
-def embed(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def embed(words: np.ndarray, start: np.ndarray, length: np.ndarray, steps: int | None = None) -> np.ndarray:
     """CGK walks over windows of word hashes: windows x walks x steps; after the end, zero."""
-    n, steps = len(start), 3 * int(length.max(initial=0))
+    n, steps = len(start), steps or 3 * int(length.max(initial=0))
     out = np.zeros((n, WALKS, steps), np.uint64)
     at = np.zeros((n, WALKS), np.int64)
     first, size = start[:, None], length[:, None]
@@ -73,8 +77,8 @@ def embed(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
 
 
 def sampled_keys(walks: np.ndarray, length: np.ndarray, per_walk: int) -> np.ndarray:
-    """windows x keys: hashes of sampled places. Walks end after about two steps per word, so
-    places are sampled from that part."""
+    """windows x keys: hashes of sampled places. ``length`` is that of the item sought; walks end
+    after about two steps per word, so places are sampled from that part."""
     rows = np.arange(len(length))[:, None]
     keys = np.empty((len(length), WALKS, per_walk), np.uint64)
     for walk in range(WALKS):
@@ -101,6 +105,31 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return row[:, -1]
 
 
+def best_runs(x: np.ndarray, y: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, start, end) of the run of words nearest to each row of ``x`` in the same row of
+    ``y``, whose first ``size`` words count; the first and then shortest one of several."""
+    pairs, width = y.shape
+    over = np.arange(width) >= size[:, None]
+    # Distance and start as one number, the distance first: a run may start anywhere.
+    one = width + 1
+    along = np.arange(width + 1)
+    row = np.broadcast_to(along, (pairs, width + 1)).copy()
+    along = along * one
+    for i in range(x.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = row[:, 0] + one
+        new[:, 1:] = np.minimum(row[:, :-1] + one * ((x[:, i : i + 1] != y) | over), row[:, 1:] + one)
+        row = np.minimum.accumulate(new - along, axis=1) + along
+    end = row.argmin(axis=1)
+    best = row[np.arange(pairs), end]
+    return best // one, best % one, end
+
+
+def _spread(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers low, low + 1, ... of each row, ``count`` of them."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+
+
 class Index:
     """Items of one slice: words, triples and LSH keys."""
 
@@ -158,11 +187,11 @@ class Index:
         enough = np.flatnonzero(found >= RECALL)
         return int(enough[0]) + 1 if len(enough) else MAX_KEYS_PER_WALK
 
-    def windows(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, length) of the windows that hold enough triples of an item of that length."""
+    def places(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first, last): places from first to last where a leak of the item may start."""
         n = len(words.hashes)
-        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not len(self.ids) or n < MIN_WORDS:
+        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(self.ids) or n < 3:
             return nothing
         triples, whole = words.grams(3)
         maybe = np.flatnonzero(self.filter[(triples >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] & whole)
@@ -171,61 +200,84 @@ class Index:
         at, triple = maybe[same], triple[same]
         # One row per place and item that has the triple, by item and place.
         low, count = self.first[triple], self.first[triple + 1] - self.first[triple]
-        item = self.triple_items[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+        item = self.triple_items[_spread(low, count)]
         at = np.repeat(at, count)
         order = np.argsort(item, kind="stable")
         item, at = item[order], at[order]
-        # Runs of just enough triples that fit a window; it may start from before the last one's
-        # reach up to the first one.
+        # Runs of just enough triples that fit the longest leak; it may start from before the last
+        # one's reach up to the first one.
         last = np.arange(len(item)) + self.least[item] - 1
         fits = last < len(item)
         first, last = np.flatnonzero(fits), last[fits]
-        reach = self.length[item[first]] - 3
+        reach = self.length[item[first]] + edits(self.length[item[first]]) - 3
         fits = (item[last] == item[first]) & (at[last] - at[first] <= reach)
+        # A leak lies in one document.
+        fits[fits] = words.ends_of_documents()[at[first[fits]]] > at[last[fits]]
         first, last, reach = first[fits], last[fits], reach[fits]
-        if not len(first):
-            return nothing
-        low, high = np.maximum(at[last] - reach, 0), at[first]
-        count = high - low + 1
-        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-        length = np.repeat(reach + 3, count)
-        inside = start + length <= words.ends_of_documents()[start]
-        width = int(self.length.max()) + 1
-        both = np.unique(start[inside] * width + length[inside])
-        return both // width, both % width
+        begin = np.repeat(words.bounds[:-1], words.counts)[at[first]]
+        return item[first], np.maximum(at[last] - reach, begin), at[first]
 
-    def leaks(self, words: Words) -> tuple[np.ndarray, ...]:
-        """(document, item, first word, distance) of the leaks in a chunk, best window of each."""
-        starts, lengths = self.windows(words)
-        found: list[np.ndarray] = []
+    def candidates(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first, last) of those places whose windows share a key with the item."""
+        item, low, high = self.places(words)
+        count = high - low + 1
+        width = int(self.length.max(initial=0)) + 1
+        both = np.unique(_spread(low, count) * width + np.repeat(self.length[item], count))
+        starts, lengths = both // width, both % width
+        ends = words.ends_of_documents()
+        pairs = [np.zeros(0, np.int64)]
         for at in range(0, len(starts), WINDOWS_AT_ONCE):
             start, length = starts[at : at + WINDOWS_AT_ONCE], lengths[at : at + WINDOWS_AT_ONCE]
-            keys = sampled_keys(embed(words.hashes, start, length), length, self.per_walk)
+            walks = embed(words.hashes, start, np.minimum(length, ends[start] - start), 3 * int(length.max()))
+            keys = sampled_keys(walks, length, self.per_walk)
             low = np.searchsorted(self.keys, keys.ravel(), "left")
             count = np.searchsorted(self.keys, keys.ravel(), "right") - low
             window = np.repeat(np.repeat(np.arange(len(start)), keys.shape[1]), count)
-            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-            pairs = np.unique(window * len(self.ids) + self.key_items[place])
-            window, item = pairs // len(self.ids), pairs % len(self.ids)
-            same = self.length[item] == length[window]
-            window, item = window[same], item[same]
-            for size in np.unique(length[window]):
-                some = length[window] == size
-                w, i = window[some], item[some]
-                over = np.arange(size)
-                d = distances(words.hashes[start[w][:, None] + over], self.words[self.start[i][:, None] + over])
-                good = d <= edits(size)
-                first = start[w[good]]
-                document = np.searchsorted(words.bounds, first, "right") - 1
-                found.append(np.stack([document, i[good], d[good], first - words.bounds[document]]))
-        if not found:
-            return tuple(np.zeros((4, 0), np.int64))
+            own = self.key_items[_spread(low, count)]
+            same = self.length[own] == length[window]
+            pairs.append(np.unique(own[same] * len(ends) + start[window[same]]))
+        item, start = np.divmod(np.concatenate(pairs), max(len(ends), 1))
+        return item, start, start
+
+    def leaks(self, words: Words) -> tuple[np.ndarray, ...]:
+        """(document, item, first word, words, distance) of the leaks in a chunk, best run of each."""
+        item, low, high = self.candidates(words)
+        if not len(item):
+            return tuple(np.zeros((5, 0), np.int64))
+        # Regions that may hold the leaks, those of an item that overlap as one.
+        slack = edits(self.length[item])
+        document = np.searchsorted(words.bounds, low, "right") - 1
+        apart = len(words.hashes) + 1
+        low = item * apart + np.maximum(low - slack, words.bounds[document])
+        high = item * apart + np.minimum(high + self.length[item] + slack, words.bounds[document + 1])
+        order = np.argsort(low, kind="stable")
+        low, high = low[order], np.maximum.accumulate(high[order])
+        new = np.append(True, low[1:] >= high[:-1])
+        item, low = np.divmod(low[new], apart)
+        high = high[np.append(new[1:], True)] % apart
+        order = np.lexsort((high - low, self.length[item]))
+        item, low, size = item[order], low[order], (high - low)[order]
+        found: list[np.ndarray] = []
+        first = 0
+        while first < len(item):
+            n = self.length[item[first]]
+            end = first + int(np.searchsorted(self.length[item[first:]], n, "right"))
+            cells = np.arange(1, end - first + 1) * size[first:end]
+            end = first + max(1, int(np.searchsorted(cells, ALIGNED_AT_ONCE, "right")))
+            i, at, wide = item[first:end], low[first:end], size[first:end]
+            y = words.hashes[np.minimum(at[:, None] + np.arange(wide.max()), len(words.hashes) - 1)]
+            d, start, stop = best_runs(self.words[self.start[i][:, None] + np.arange(n)], y, wide)
+            good = d <= edits(n)
+            document = np.searchsorted(words.bounds, at[good], "right") - 1
+            place = at[good] + start[good] - words.bounds[document]
+            found.append(np.stack([document, i[good], d[good], place, (stop - start)[good]]))
+            first = end
         rows = np.concatenate(found, axis=1)
         rows = rows[:, np.lexsort(rows[::-1])]
         best = np.ones(rows.shape[1], bool)
         best[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
-        document, item, distance, first = rows[:, best]
-        return document, item, first, distance
+        document, item, distance, place, size = rows[:, best]
+        return document, item, place, size, distance
 
 
 def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +288,7 @@ def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def find_leaks(
     df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
-    """id, ``item_id``, ``first_word`` and ``n_words`` of the window, ``distance`` in words."""
+    """id, ``item_id``, ``first_word`` and ``n_words`` of the run, ``distance`` in words."""
     spark = df.sparkSession
     rows = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
     searched = items.select(items[item_col].cast("long").alias("item"), items[item_text_col].cast("string").alias("text"))
@@ -257,11 +309,11 @@ def find_leaks(
             for batch in batches:
                 for first, _, data, bounds in chunks(batch.column(1)):
                     words = Words(data, bounds, ALNUM_WORD, lower=True)
-                    document, item, at, distance = index.value.leaks(words)
+                    document, item, at, size, distance = index.value.leaks(words)
                     yield pa.record_batch(
                         [
                             batch.column(0).take(pa.array(document + first)),
-                            *(pa.array(x.astype(np.int64)) for x in (index.value.ids[item], at, index.value.length[item], distance)),
+                            *(pa.array(x.astype(np.int64)) for x in (index.value.ids[item], at, size, distance)),
                         ],
                         names=schema.names,
                     )
