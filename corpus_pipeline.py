@@ -21,6 +21,10 @@ from vanescope.llm import bpe, decontam, language, minhash, queries, repeats
 from vanescope.llm.stored import stored
 
 
+#: Of the shingles of two near-duplicates together, at least so many are common to both.
+NEAR_PERCENT = 80
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is not in column ``__gone`` of ``ids``."""
     return docs.join(ids, F.col("doc_id") == F.col("__gone"), "left_anti")
@@ -33,7 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs).where("doc_id IS NOT NULL AND NOT kept")
+    found = minhash.near_duplicates(docs, percent=NEAR_PERCENT).where("doc_id IS NOT NULL AND NOT kept")
     return _without(docs, found.select(F.col("doc_id").alias("__gone")).distinct())
 
 

@@ -90,3 +90,26 @@ def test_result_equals_brute_force(spark):
         want[i] = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     assert got == want
+
+
+def test_near_copies_from_four_fifths_on_go(spark, documents):
+    import test_minhash
+
+    from vanescope.llm import minhash
+
+    rows, near = [], []
+    for k in range(12):
+        base = [f"k{k}w{j}" for j in range(100)]
+        copy = list(base)
+        # Each word that is changed on its own spoils five shingles of 96; four words in a row eight.
+        for at in ((10, 50), (30, 70), (20, 21, 22, 23, 60), (10, 40, 70))[k % 4]:
+            copy[at] = f"changed{k}"
+        a, b = test_minhash.shingles(" ".join(base)), test_minhash.shingles(" ".join(copy))
+        near.append(0.8 <= len(a & b) / len(a | b) < 0.85)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    assert 0 < sum(near) < 12
+    docs = documents(rows)
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()}
+    assert got == {i for i, _ in rows if i % 2 == 0 or not near[i // 2]}
+    # op2's own limit is higher.
+    assert all(r.kept for r in minhash.near_duplicates(docs).collect())

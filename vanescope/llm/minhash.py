@@ -2,8 +2,9 @@
 
 Every permutation gives two signature values, the smallest and the largest hash of the set, so
 half the hash evaluations of plain MinHash fill a signature. Bands of four values make buckets.
-With ``BANDS`` of them a pair at the similarity limit of 0.85 meets in no bucket with a
-probability of (1 - 0.85 ** 4) ** 20, about 4e-7, which is the recall of the operator.
+With ``BANDS`` of them a pair at a similarity of 0.85 meets in no bucket with a probability of
+(1 - 0.85 ** 4) ** 20, about 4e-7, and one at 0.8 with about 3e-5. At the limit that is used this
+is what the operator misses.
 
 * Equal sets are one class, found by a digest of the sorted set; only classes enter buckets.
 * Each bucket proposes its members to one of them, the centre: that which shares most buckets with
@@ -37,7 +38,7 @@ from vanescope.llm.stored import stored
 from vanescope.llm.text import Words, chunks, mix
 
 SHINGLE = 5
-#: Linked where 100 * intersection >= LINK_PERCENT * union.
+#: Linked where 100 * intersection >= percent * union, with this percentage if no other is given.
 LINK_PERCENT = 85
 BANDS = 20
 #: Permutations per band; each gives two values.
@@ -108,7 +109,7 @@ def _set_of(text: bytes) -> np.ndarray:
     return shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough; ``texts`` as ``packed`` gives them.
 
     Members of a pair are dealt out by their centre ``a`` and a salt, so that each copy of the
@@ -135,7 +136,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     # Rows that repeat an id are texts of one document.
                     centre = [*centre, own] if key == (a[i], salt[i]) else [own]
                     key = (a[i], salt[i])
-                elif any(similar(other, own) for other in centre):
+                elif any(similar(other, own, percent) for other in centre):
                     linked.append((a[i], b[i]))
             yield pa.record_batch(
                 [pa.array([x for x, _ in linked], pa.int64()), pa.array([y for _, y in linked], pa.int64())], names=["a", "b"]
@@ -144,16 +145,16 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
+def similar(x: np.ndarray, y: np.ndarray, percent: int = LINK_PERCENT) -> bool:
     """Whether two sorted sets are linked."""
     small, large = sorted((len(x), len(y)))
-    if not small or 100 * small < LINK_PERCENT * large:
+    if not small or 100 * small < percent * large:
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= LINK_PERCENT * (small + large - both)
+    return 100 * both >= percent * (small + large - both)
 
 
-def links_between(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def links_between(x: list[np.ndarray], y: list[np.ndarray], percent: int = LINK_PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of all linked pairs of non-empty sets. Shingles that many sets hold are counted as a
     product of matrices, the others by their lists of holders."""
     sizes = [np.array([len(s) for s in side]) for side in (x, y)]
@@ -182,10 +183,10 @@ def links_between(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray,
         rows = who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
         np.add.at(common, (rows, np.repeat(their[part : part + (1 << 16)], count)), 1)
     together = sizes[0][:, None] + sizes[1] - common
-    return np.nonzero(100 * common.astype(np.int64) >= LINK_PERCENT * together.astype(np.int64))
+    return np.nonzero(100 * common.astype(np.int64) >= percent * together.astype(np.int64))
 
 
-def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """Links (a, b) between members ``b`` of one centre ``a`` that are in different components."""
     named = roots.withColumnRenamed("node", "b")
     placed = stars.join(named, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
@@ -210,7 +211,7 @@ def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
         asking = [k for k, row in enumerate(group) if (row[6] if row[7] else row[3] == 0)]
         members = [k for k, row in enumerate(group) if row[3] == 1]
         if asking and members:
-            for i, j in zip(*links_between([sets[k] for k in asking], [sets[k] for k in members])):
+            for i, j in zip(*links_between([sets[k] for k in asking], [sets[k] for k in members], percent)):
                 x, y = group[asking[i]], group[members[j]]
                 if x[5] != y[5]:
                     yield min(x[4], y[4]), max(x[4], y[4])
@@ -233,8 +234,8 @@ def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
+    """Per row of ``df``: id, ``n_shingles``, ``component_id`` and ``kept``; linked from ``percent`` on."""
     rows = stored(signatures(df, id_col, text_col), "signatures")
     some = rows.where("id IS NOT NULL AND n_shingles > 0")
     classes = stored(some.groupBy("digest").agg(F.min("id").alias("node")), "classes")
@@ -251,9 +252,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
     every = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
     texts = stored(packed_of(every, nodes), "texts")
-    edges = stored(confirm(stars, texts), "links")
+    edges = stored(confirm(stars, texts, percent), "links")
     roots = stored(connected_components(edges), "roots")
-    more = stored(settle(stars, roots, texts), "links")
+    more = stored(settle(stars, roots, texts, percent), "links")
     if not more.isEmpty():
         roots = stored(connected_components(edges.union(more)), "roots")
 

@@ -39,7 +39,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
