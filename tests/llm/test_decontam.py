@@ -149,3 +149,10 @@ def test_best_runs_equal_plain_ones():
     got = list(zip(*(v.tolist() for v in decontam.best_runs(np.array(x), np.array(y), np.array(size)))))
     for a, b, n, run in zip(x, y, size, got):
         assert run == min((distance(a, b[s:e]), s, e) for s in range(n + 1) for e in range(s, n + 1))
+
+
+@pytest.mark.parametrize("n", (100, 200, 400, 800))
+def test_long_items_are_found_among_short_ones(n):
+    pick = random.Random(7)
+    short = [[f"s{pick.randrange(5000)}" for _ in range(pick.randint(10, 59))] for _ in range(200)]
+    assert share_found(random.Random(n), [n] * 3, 6, short) >= 0.95

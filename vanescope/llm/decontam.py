@@ -12,9 +12,11 @@ digits, A-Z lower-cased, so punctuation and line breaks do not matter.
   random bit of step and word says whether to go on to the next. Two walks over similar texts meet
   again after an edit, so edits become few differing places: edit distance becomes Hamming distance.
 * Bit sampling. Sampled places of each walk hash to a key. Items have the same keys. Their number
-  per walk is set by trial: items with the allowed number of random edits must share a key with
-  their originals in at least ``RECALL`` of all cases.
-* Candidates that share a key are verified with the words around them, as many on either side as
+  per walk is set by trial for each class of about equally long items: items with the allowed number
+  of random edits must share a key with their originals in at least ``RECALL`` of all cases. Where
+  the most keys don't reach that, and for items of more than ``MOST_KEYED`` words, no keys are used:
+  every place where enough triples lie is a candidate.
+* Candidates are verified with the words around them, as many on either side as
   there may be edits, by the least edit distance of any run of these words.
 
 Items are sent to the executors in slices of bounded size; documents are never shuffled.
@@ -43,6 +45,11 @@ RECALL = 0.97
 WALKS = 8
 SAMPLED = 3
 MAX_KEYS_PER_WALK = 32
+#: Words of the longest items that are sought by keys.
+MOST_KEYED = 512
+#: Trials per class of length, and how many times as long as the shortest items of a class others may be.
+TRIALS = 512
+CLASS_RATIO = 1.25
 #: Bytes of item text that are searched for in one pass over the documents.
 SLICE_BYTES = 8 << 20
 #: Windows that are embedded at a time.
@@ -152,40 +159,48 @@ class Index:
         self.filter[(self.triples >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         #: How many triples of an item a leak of it still holds.
         self.least = self.length - 2 - 3 * edits(self.length)
-        if long:
-            walks = embed(self.words, self.start, self.length)
-            self.per_walk = self._keys_for_recall(walks)
-            keys = sampled_keys(walks, self.length, self.per_walk)
-            flat = keys.ravel()
-            order = np.argsort(flat, kind="stable")
-            self.keys, self.key_items = flat[order], np.repeat(np.arange(len(long)), keys.shape[1])[order]
-
-    def _keys_for_recall(self, walks: np.ndarray) -> int:
-        """Keys per walk at which items with the allowed random edits are found often enough."""
+        classes = (np.log(np.maximum(self.length, 1)) / np.log(CLASS_RATIO)).astype(np.int64)
+        #: Keys per walk of each item, as of its class; 0 where every place is verified.
+        self.per_walk = np.zeros(len(long), np.int64)
+        keys, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for kind in np.unique(classes[self.length <= MOST_KEYED]):
+            own = np.flatnonzero((classes == kind) & (self.length <= MOST_KEYED))
+            per_walk = self._keys_for_recall(own)
+            self.per_walk[own] = per_walk
+            for at in range(0, len(own) if per_walk else 0, WINDOWS_AT_ONCE):
+                some = own[at : at + WINDOWS_AT_ONCE]
+                keys.append(sampled_keys(embed(self.words, self.start[some], self.length[some]), self.length[some], per_walk).ravel())
+                of.append(np.repeat(some, WALKS * per_walk))
+        flat, items = np.concatenate(keys), np.concatenate(of)
+        order = np.argsort(flat, kind="stable")
+        self.keys, self.key_items = flat[order], items[order]
+
+    def _keys_for_recall(self, items: np.ndarray) -> int:
+        """Keys per walk at which these items with the allowed random edits are found often enough,
+        0 if they never are."""
         random = np.random.default_rng(20240105)
-        tried = random.choice(len(self.ids), min(64, len(self.ids)), replace=False)
-        changed, of = [], []
+        tried = random.choice(items, min(64, len(items)), replace=False)
+        found, trials = np.zeros(MAX_KEYS_PER_WALK), -(-TRIALS // len(tried))
         for item in tried:
             n = int(self.length[item])
-            for _ in range(4):
+            changed = []
+            for _ in range(trials):
                 own = list(self.words[self.start[item] : self.start[item] + n])
                 for _ in range(int(edits(n))):
                     at, kind = int(random.integers(len(own))), int(random.integers(3))
                     new = np.uint64(random.integers(1, 1 << 63))
                     own[at : at + (kind != 1)] = [new] if kind != 2 else []
                 # A window is as long as the item: what follows in the document fills it up.
-                own.extend(np.uint64(x) for x in random.integers(1, 1 << 63, n))
+                own.extend(random.integers(1, 1 << 63, max(0, n - len(own)), np.uint64))
                 changed.append(np.array(own[:n], np.uint64))
-                of.append(item)
-        flat = np.concatenate(changed)
-        length = np.array([len(c) for c in changed])
-        start = np.concatenate([[0], np.cumsum(length)[:-1]])
-        mine = sampled_keys(embed(flat, start, length), length, MAX_KEYS_PER_WALK).reshape(len(of), WALKS, -1)
-        theirs = sampled_keys(walks[of], self.length[of], MAX_KEYS_PER_WALK).reshape(len(of), WALKS, -1)
-        agree = (mine == theirs).any(axis=1)
-        found = np.logical_or.accumulate(agree, axis=1).mean(axis=0)
+            both = np.concatenate([*changed, self.words[self.start[item] : self.start[item] + n]])
+            length = np.full(trials + 1, n)
+            walks = embed(both, np.arange(trials + 1) * n, length)
+            keys = sampled_keys(walks, length, MAX_KEYS_PER_WALK).reshape(trials + 1, WALKS, -1)
+            agree = (keys[:-1] == keys[-1]).any(axis=1)
+            found += np.logical_or.accumulate(agree, axis=1).mean(axis=0) / len(tried)
         enough = np.flatnonzero(found >= RECALL)
-        return int(enough[0]) + 1 if len(enough) else MAX_KEYS_PER_WALK
+        return int(enough[0]) + 1 if len(enough) else 0
 
     def places(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, first, last): places from first to last where a leak of the item may start."""
@@ -218,18 +233,28 @@ class Index:
         return item[first], np.maximum(at[last] - reach, begin), at[first]
 
     def candidates(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, first, last) of those places whose windows share a key with the item."""
+        """(item, first, last) of those places whose windows share a key with the item, and of all
+        places of items without keys."""
         item, low, high = self.places(words)
+        keyed = self.per_walk[item] > 0
+        whole = item[~keyed], low[~keyed], high[~keyed]
+        item, low, high = item[keyed], low[keyed], high[keyed]
         count = high - low + 1
         width = int(self.length.max(initial=0)) + 1
         both = np.unique(_spread(low, count) * width + np.repeat(self.length[item], count))
         starts, lengths = both // width, both % width
+        per_walk = np.zeros(width, np.int64)
+        per_walk[self.length[item]] = self.per_walk[item]
         ends = words.ends_of_documents()
         pairs = [np.zeros(0, np.int64)]
-        for at in range(0, len(starts), WINDOWS_AT_ONCE):
-            start, length = starts[at : at + WINDOWS_AT_ONCE], lengths[at : at + WINDOWS_AT_ONCE]
+        # Windows of one number of keys, and so of about one length, at a time.
+        order = np.argsort(per_walk[lengths], kind="stable")
+        starts, lengths, keys_of = starts[order], lengths[order], per_walk[lengths[order]]
+        cuts = np.unique(np.concatenate([np.arange(0, len(starts), WINDOWS_AT_ONCE), np.flatnonzero(np.diff(keys_of)) + 1, [len(starts)]]).astype(np.int64))
+        for at, end in zip(cuts[:-1], cuts[1:]):
+            start, length = starts[at:end], lengths[at:end]
             walks = embed(words.hashes, start, np.minimum(length, ends[start] - start), 3 * int(length.max()))
-            keys = sampled_keys(walks, length, self.per_walk)
+            keys = sampled_keys(walks, length, int(keys_of[at]))
             low = np.searchsorted(self.keys, keys.ravel(), "left")
             count = np.searchsorted(self.keys, keys.ravel(), "right") - low
             window = np.repeat(np.repeat(np.arange(len(start)), keys.shape[1]), count)
@@ -237,7 +262,7 @@ class Index:
             same = self.length[own] == length[window]
             pairs.append(np.unique(own[same] * len(ends) + start[window[same]]))
         item, start = np.divmod(np.concatenate(pairs), max(len(ends), 1))
-        return item, start, start
+        return tuple(np.concatenate(x) for x in zip((item, start, start), whole))
 
     def leaks(self, words: Words) -> tuple[np.ndarray, ...]:
         """(document, item, first word, words, distance) of the leaks in a chunk, best run of each."""
