@@ -1,6 +1,7 @@
 """From documents to token ids: five stages, each of which reads what the one before has written.
 
-1. language ID: documents whose language cannot be told, having no text or no letter, go.
+1. language ID: documents whose language cannot be told, having no text or no letter, go. Others stay
+   also where there is no language to learn from.
 2. near-duplicates: of each component of near-duplicates one document stays, that with the smallest id.
 3. substring de-duplication: words that repeat a passage of an earlier document go. A document that
    loses words keeps the others, joined by one blank; every other text stays as it is.
@@ -32,6 +33,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs)
+    if not model.langs:
+        # Nothing to learn from: what has a letter has a language, though it cannot be named.
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     # The verdict depends on the text alone and travels with it, so nothing is joined.
     return language.with_language(docs, model, "__lang").where(F.col("__lang") != language.UNDETERMINED).drop("__lang")
 

@@ -93,3 +93,22 @@ def test_held_out_accuracy(spark):
     lang = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = queries.op6_language(spark, sf_dir).where("held_out").join(lang, "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
+
+
+def test_languages_of_one_long_text_are_learned(spark):
+    rows = [(i, (text + " ") * 2000, lang) for i, (lang, text) in enumerate(TEXTS.items())]
+    rows += [(100 + i, text, lang) for i, (lang, text) in enumerate(TEXTS.items())]
+    df = spark.createDataFrame([*rows, (None, "ein satz " * 9, "xx")], "doc_id long, text string, lang string")
+    model = language.train(df, sample_bytes=4000)
+    assert model.langs == sorted([*TEXTS, "xx"])
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_pieces_make_up_the_text(monkeypatch):
+    raw = [b"some text of a document", b"", b"and another one, cut into pieces"]
+    data, bounds = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
+    whole = language._pieces(data, bounds, [[0], [0], [0]])
+    monkeypatch.setattr(language, "PIECE_BYTES", 5)
+    cut = language._pieces(data, bounds, [list(range(5)), [0], list(range(7))])
+    assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all() and len(whole[0]) == len(data)

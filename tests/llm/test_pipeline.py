@@ -113,3 +113,11 @@ def test_near_copies_from_four_fifths_on_go(spark, documents):
     assert got == {i for i, _ in rows if i % 2 == 0 or not near[i // 2]}
     # op2's own limit is higher.
     assert all(r.kept for r in minhash.near_duplicates(docs).collect())
+
+
+def test_texts_stay_without_a_language_to_learn(spark, awkward):
+    from pyspark.sql import functions as F
+
+    unnamed = awkward.withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.language_id(spark, unnamed, SF_DIR)
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted((i or 0, t) for i, t in AWKWARD if t and any(c.isalpha() for c in t))

@@ -8,8 +8,10 @@ escape k / (n + k); below the empty context all 256 bytes are alike. Statistics
 training, so code lengths are exact and every text is scored on its own. The language with the
 shortest code wins; its score is its share when code lengths are read as log-likelihoods.
 
-Trees are trained on a bounded sample per language: rows by a hash of their id, up to about
-``SAMPLE_BYTES`` of text each, whole texts. Counts are summed on the executors; what comes to the
+Trees are trained on a bounded sample per language: texts are cut into pieces of ``PIECE_BYTES``,
+most being one piece, and the pieces taken in the order of a hash of id and piece until they hold
+``SAMPLE_BYTES``. So each language with text is learned, from 32 pieces at least or all it has.
+Hashes are told apart by ``STEPS`` per halving, so up to a twentieth more is taken. Counts are summed on the executors; what comes to the
 driver is the trees, whose size the sample bounds. They are flattened there: contexts are numbered
 once for all languages, and for each language a table holds the code length of every byte after
 every context, escapes included. A byte of text then costs one lookup per language.
@@ -34,6 +36,8 @@ from vanescope.llm.text import chunks
 
 ORDER = 3
 SAMPLE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 16
+STEPS = 16
 #: A longest context must have been seen this often in one of the languages.
 LEAST_SEEN = 4
 UNDETERMINED = "und"
@@ -42,16 +46,30 @@ _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
 
 
+def _pieces(data: np.ndarray, bounds: np.ndarray, wanted: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, gram) of each byte in the wanted pieces of the documents of a chunk."""
+    of, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, pieces in enumerate(wanted):
+        for piece in pieces:
+            low = bounds[i] + piece * PIECE_BYTES
+            # What stands before the piece is context only.
+            before = min(ORDER, low - bounds[i])
+            own = data[low - before : min(low + PIECE_BYTES, bounds[i + 1])]
+            own = (_contexts(own, np.array([0, len(own)])) << np.int64(8) | own)[before:]
+            of.append(np.full(len(own), i))
+            grams.append(own)
+    return np.concatenate(of), np.concatenate(grams)
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """(lang, gram, n): occurrences of each byte with the ``ORDER`` bytes before it, zero before
-    the start of a text. Each batch is summed before it leaves the task."""
+    the start of a text, in the pieces listed. Each batch is summed before it leaves the task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
+            langs, pieces = np.array(batch.column(0).to_pylist(), object), batch.column(2).to_pylist()
             for first, end, data, bounds in chunks(batch.column(1)):
-                grams = _contexts(data, bounds) << np.int64(8) | data
-                of = np.repeat(np.arange(end - first), np.diff(bounds))
+                of, grams = _pieces(data, bounds, pieces[first:end])
                 own = langs[first:end]
                 for lang in sorted(set(own)):
                     values, n = np.unique(grams[(own == lang)[of]], return_counts=True)
@@ -145,14 +163,29 @@ def _tree(grams: np.ndarray, n: np.ndarray, symbols: np.ndarray, contexts: list[
 def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Trees of the languages in ``lang_col``, from rows that have language and text."""
     rows = df.select(df[lang_col].cast("string").alias("lang"), df[text_col].cast("string").alias("text"), df[id_col].alias("id"))
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()}
-    if not sizes:
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").withColumn("bytes", F.octet_length("text").cast("long"))
+    # Rows without id are told apart by their texts.
+    rows = rows.withColumn("seed", F.xxhash64("id", F.lit(17), F.when(F.col("id").isNull(), F.col("text"))))
+    rows = rows.withColumn("pieces", F.expr(f"sequence(0L, (bytes - 1) div {PIECE_BYTES})"))
+
+    def level(piece: Column) -> Column:
+        """How early a piece is in the order of hashes: one more halves what is left ``STEPS`` times finer."""
+        chance = (F.xxhash64("seed", piece).bitwiseAND(F.lit((1 << 52) - 1)) + 1) / F.lit(float(1 << 52))
+        return F.floor(-STEPS * F.log2(chance))
+
+    size = F.least(F.lit(PIECE_BYTES), F.col("bytes") - PIECE_BYTES * F.col("piece"))
+    levels = rows.select("lang", "seed", "bytes", F.explode("pieces").alias("piece"))
+    levels = levels.groupBy("lang", level(F.col("piece")).alias("level")).agg(F.sum(size).alias("bytes"))
+    least: dict[str, int] = {}
+    taken: dict[str, int] = {}
+    for lang, at, n_bytes in sorted(levels.collect(), key=lambda r: -r[1]):
+        if taken.get(lang, 0) < sample_bytes:
+            least[lang], taken[lang] = at, taken.get(lang, 0) + n_bytes
+    if not least:
         return Model([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((0, 1, 1), np.float32))
-    # Rows by a hash of the id, the share of each language that holds about as many bytes as wanted.
-    share = F.create_map(*[x for lang, size in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample_bytes / size)))])
-    chance = (F.xxhash64("id", F.lit(17)).bitwiseAND(F.lit((1 << 31) - 1)) / (1 << 31)).cast("double")
-    listed = _counts(rows.where(chance < share[F.col("lang")]).select("lang", "text")).toArrow()
+    from_level = F.create_map(*[x for lang, at in least.items() for x in (F.lit(lang), F.lit(at))])
+    wanted = rows.select("lang", "text", F.filter("pieces", lambda piece: level(piece) >= from_level[F.col("lang")]).alias("pieces"))
+    listed = _counts(wanted.where(F.size("pieces") > 0)).toArrow()
     names, grams, n = (listed.column(i).to_numpy(zero_copy_only=False) for i in range(3))
     langs = sorted(set(names))
     symbols = np.zeros(256, np.int32)
