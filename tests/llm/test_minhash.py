@@ -15,7 +15,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def expected(rows):
+def expected(rows, percent=85):
     sets = {}
     for i, t in rows:
         if i is not None:
@@ -28,7 +28,7 @@ def expected(rows):
         return x
 
     def linked(a, b):
-        return bool(a) and bool(b) and 100 * len(a & b) >= 85 * len(a | b)
+        return bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b)
 
     ids = sorted(sets)
     for k, i in enumerate(ids):
