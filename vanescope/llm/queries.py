@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
+from vanescope.llm import bpe, centroids, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
 from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -105,6 +105,11 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector after ten rounds over eight centroids."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
@@ -116,8 +121,50 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
+    "op11_centroids": op11_centroids,
 }
 
+
+def _centroids_sql(rounds: int = 10) -> str:
+    """The rounds written out one after the other, every distance computed anew."""
+    steps = ["""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )""", """
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h) - 1 AS c, v
+            FROM (SELECT sha256('3:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h LIMIT 8)
+        )"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        a{n} AS MATERIALIZED (
+            SELECT r, vec_id, v, best.c AS c, best.d AS d FROM (
+                SELECT r, any_value(vec_id) AS vec_id, any_value(k.v) AS v, min({{'d': d, 'c': c}}) AS best FROM (
+                    SELECT r, vec_id, kept.v, c, list_sum(list_transform(list_zip(kept.v, c{n}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+                    FROM kept CROSS JOIN c{n}
+                ) k GROUP BY r
+            )
+        )""")
+        if n < rounds:
+            steps.append(f"""
+        c{n + 1} AS MATERIALIZED (
+            SELECT c{n}.c AS c, coalesce(moved.v, c{n}.v) AS v FROM c{n} LEFT JOIN (
+                SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+                FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{n} CROSS JOIN range(1, 65) AS t(i) GROUP BY c, i)
+                GROUP BY c
+            ) moved ON moved.c = c{n}.c
+        )""")
+    return "WITH " + ",".join(steps) + f"""
+        SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON a{rounds}.c = c{rounds}.c
+    """
+
+
 SQL: dict[str, str] = {
     "op4_top_k": """
         WITH whole AS (
@@ -148,4 +195,5 @@ SQL: dict[str, str] = {
                CASE WHEN response <> page_id THEN response END AS refers_to
         FROM facts LEFT JOIN first USING (payload_digest)
     """,
+    "op11_centroids": _centroids_sql(),
 }
