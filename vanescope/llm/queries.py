@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, centroids, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
+from vanescope.llm import bpe, centroids, chat, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
 from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+#: A conversation that says control strings, added to those of the table.
+TEST_CONVERSATION = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +114,22 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and masked, then read back, as digests."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(spark.createDataFrame(TEST_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    found = chat.read_back(chat.format_conversations(rows, CHAT_VOCABULARY))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_min_max_hash": op2_min_max_hash,
@@ -122,6 +142,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
     "op11_centroids": op11_centroids,
+    "op13_chat": op13_chat,
 }
 
 
@@ -165,6 +186,25 @@ def _centroids_sql(rounds: int = 10) -> str:
     """
 
 
+def _chat_sql() -> str:
+    marks = sum(map(len, chat.MARKS)) + 1
+    added = " UNION ALL ".join(f"SELECT {conv}, {turn}, '{role}', '{text}'" for conv, turn, role, text in TEST_CONVERSATION)
+    escaped = f"length(regexp_replace({{}}, '{chat.CONTROL_PATTERN}', '\\1\\\\\\2\\3', 'g'))"
+    order = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
+    return f"""
+        WITH rows AS (
+            SELECT conv_id, turn, role, text FROM conversations UNION ALL {added}
+        ), filled AS (
+            SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t FROM rows
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' {order})) AS turns_sha256,
+               CAST(sum(CASE WHEN r = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN r = 'assistant' THEN t ELSE '' END, '' {order})) AS loss_sha256,
+               CAST(sum({marks} + {escaped.format("r")} + {escaped.format("t")}) AS BIGINT) AS formatted_chars
+        FROM filled GROUP BY conv_id
+    """
+
+
 SQL: dict[str, str] = {
     "op4_top_k": """
         WITH whole AS (
@@ -196,4 +236,5 @@ SQL: dict[str, str] = {
         FROM facts LEFT JOIN first USING (payload_digest)
     """,
     "op11_centroids": _centroids_sql(),
+    "op13_chat": _chat_sql(),
 }
