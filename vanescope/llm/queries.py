@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanescope.llm import bpe, centroids, chat, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
+from vanescope.llm import alignment, bpe, centroids, chat, decontam, language, licenses, minhash, quality, repeats, topk, toxicity, warc
 from vanescope.llm.ship import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHAT_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 #: A conversation that says control strings, added to those of the table.
 TEST_CONVERSATION = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -114,6 +115,11 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of the tokens of two tokenizers in every document, and how common they are."""
+    return alignment.align(table(spark, sf_dir, "documents"), CHAT_VOCABULARY, PIECES)
+
+
 def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and masked, then read back, as digests."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -142,6 +148,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_leaks": op10_leaks,
     "op11_centroids": op11_centroids,
+    "op12_alignment": op12_alignment,
     "op13_chat": op13_chat,
 }
 
