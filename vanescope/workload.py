@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanescope.functions.columns import hour_of, with_snake_case_names
-from vanescope.operators import anomalies, cleaning, context, reports, summary
-from vanescope.plans import hours, layers
+from vanescope.operators import anomalies, cleaning, context, reports, states, summary
+from vanescope.plans import hours, layers, running
 from vanescope.shared import scratch_path
 from vanescope.sinks.files import land_raw_files, write_json_lines, write_parquet
 from vanescope.sources import hourly, readings
@@ -251,6 +251,35 @@ def summary_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Running statistics: batches are aggregated once and merged as states
+
+
+def add_halves(spark: SparkSession, sf_dir: str) -> str:
+    """Events of mornings and of afternoons as two batches, so that every day is in both."""
+    path = scratch_path(spark, "states")
+    events = table(spark, sf_dir, "events")
+    # Rows without time are in no window and no batch.
+    running.add_batch(events.filter("hour(ts) < 12"), path, "mornings", BY_USER, "1 day")
+    running.add_batch(events.filter("hour(ts) >= 12"), path, "afternoons", BY_USER, "1 day")
+    return path
+
+
+@register("running_summary", summary_sql("events", "user_id", "ts", "value", "1 day"))
+def running_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = running.running_summary(spark, add_halves(spark, sf_dir), BY_USER, "1 day")
+    return found.withColumns(rounded("avg_value", "stddev_value"))
+
+
+@register("running_summary_rolled_up", summary_sql("events", "user_id", "ts", "value", "7 days"))
+def running_summary_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks from the stored days, after the batches became one."""
+    path, one = add_halves(spark, sf_dir), scratch_path(spark, "states")
+    running.compact(spark, path, one, "all", BY_USER)
+    weeks = states.roll_up_states(spark.read.parquet(one).drop(running.BATCH), BY_USER.keys, "7 days")
+    found = states.summary_of_states(weeks, BY_USER, "7 days")
+    return found.withColumns(rounded("avg_value", "stddev_value"))
+
+
 # Anomalies
 
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
