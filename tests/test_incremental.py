@@ -1,0 +1,147 @@
+import os
+import random
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+
+from vanescope.plans import incremental, layers
+
+HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output"
+
+
+def lines_of(pick, days, turbines=(1, 2, 3), gaps=True):
+    out = []
+    for day in days:
+        for hour in range(0, 24, 2):
+            for turbine in turbines:
+                wind = pick.choice(["", "26.0"]) if gaps and pick.random() < 0.1 else f"{pick.uniform(9, 15):.1f}"
+                power = 2.4 if pick.random() < 0.05 else round(pick.uniform(1.2, 1.4), 2)
+                at = datetime(2022, 3, 1) + timedelta(days=day, hours=hour)
+                out.append(f"{at},{turbine},{wind},{pick.randrange(361)},{power}")
+    return out
+
+
+def put(config, name, lines, age):
+    """A file whose time tells its versions apart."""
+    path = Path(config.source) / name
+    path.write_text("\n".join([HEADER, *lines]) + "\n")
+    os.utime(path, (1.7e9 + age, 1.7e9 + age))
+
+
+@pytest.fixture
+def config(tmp_path):
+    (tmp_path / "csv").mkdir()
+    return layers.RunConfig(source=str(tmp_path / "csv"), base=str(tmp_path / "tables"), period="3 days", flag="is_imputed", keep_raw_files=False)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.drop("reading_date", "ingestion_timestamp").collect()), key=repr)
+
+
+def as_full_run(spark, config, tmp_path, name):
+    full = layers.RunConfig(
+        source=config.source, base=str(tmp_path / name), period=config.period, flag=config.flag, keep_raw_files=False
+    )
+    layers.run(spark, full)
+    got, want = layers.stored_tables(spark, config), layers.stored_tables(spark, full)
+    for table in ("silver", "summary", "anomalies"):
+        assert got[table].drop("reading_date").columns == want[table].drop("reading_date").columns
+        assert rounded(rows_of(got[table])) == rounded(rows_of(want[table])), table
+    assert want["anomalies"].count() > 0
+
+
+def rounded(rows):
+    return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows]
+
+
+def files_by_date(path):
+    out = {}
+    for file in sorted(Path(path).rglob("*.parquet")):
+        out.setdefault(file.parent.name.split("=")[1], set()).add(file.name)
+    return out
+
+
+def test_files_that_come_change_and_go(spark, config, tmp_path):
+    pick = random.Random(1)
+    put(config, "a.csv", lines_of(pick, range(0, 8)), 0)
+    first = incremental.update(spark, config)
+    assert first.readings == [date(2022, 3, 1) + timedelta(days=d) for d in range(8)]
+    as_full_run(spark, config, tmp_path, "one")
+    # Nothing new, nothing done.
+    assert incremental.update(spark, config) == incremental.Changes()
+
+    # Late rows of known days, rows of new days and of a new turbine, duplicates, malformed lines.
+    late = lines_of(pick, [3, 9], turbines=(2, 4)) + ["x,1,2,3,4", "2022-03-05 01:00:00,,1,1,1"]
+    put(config, "b.csv", late, 50)
+    incremental.update(spark, config)
+    as_full_run(spark, config, tmp_path, "two")
+
+    # A file is replaced by one with other days, another one goes.
+    put(config, "a.csv", lines_of(pick, range(2, 6)), 100)
+    incremental.update(spark, config)
+    as_full_run(spark, config, tmp_path, "three")
+    os.remove(Path(config.source) / "b.csv")
+    put(config, "c.csv", lines_of(pick, [5]), 150)
+    incremental.update(spark, config)
+    as_full_run(spark, config, tmp_path, "four")
+    assert incremental.manifest(spark, config.base).count() == 2
+
+
+def test_only_dates_of_new_rows_and_their_windows_are_rewritten(spark, config):
+    pick = random.Random(2)
+    put(config, "a.csv", lines_of(pick, range(0, 12), gaps=False), 0)
+    incremental.update(spark, config)
+    before = {t: files_by_date(getattr(layers.Layers(config.base), t)) for t in ("silver", "summary", "anomalies")}
+    put(config, "b.csv", lines_of(pick, [7], turbines=(9,), gaps=False), 50)
+    changes = incremental.update(spark, config)
+    assert changes.readings == [date(2022, 3, 8)]
+    after = {t: files_by_date(getattr(layers.Layers(config.base), t)) for t in before}
+    changed = {t: {d for d in before[t] | after[t] if before[t].get(d) != after[t].get(d)} for t in before}
+    assert changed["silver"] == {"2022-03-08"}
+    # Windows of three days: one of them holds the day.
+    assert len(changed["summary"]) == 1 and changed["anomalies"] <= {str(d) for d in changes.anomalies}
+    assert len(changes.anomalies) <= 5
+
+
+def test_gaps_of_other_days_follow_the_mean(spark, config, tmp_path):
+    put(config, "a.csv", ["2022-03-01 00:00:00,1,,10,1.0", "2022-03-01 02:00:00,1,10.0,10,1.0", "2022-03-05 00:00:00,2,,10,1.0", "2022-03-06 00:00:00,2,8.0,10,1.0"], 0)
+    incremental.update(spark, config)
+    put(config, "b.csv", ["2022-03-09 00:00:00,1,20.0,10,1.0"], 50)
+    changes = incremental.update(spark, config)
+    # The gap of the first turbine is filled anew, that of the other one is not touched.
+    assert changes.readings == [date(2022, 3, 1), date(2022, 3, 9)]
+    silver = spark.read.parquet(layers.Layers(config.base).silver)
+    assert {float(r.wind_speed) for r in silver.filter("is_imputed").collect()} == {15.0, 8.0}
+
+
+def test_a_run_that_failed_is_repeated_as_a_whole(spark, config, tmp_path, monkeypatch):
+    pick = random.Random(3)
+    put(config, "a.csv", lines_of(pick, range(0, 5)), 0)
+    incremental.update(spark, config)
+    put(config, "b.csv", lines_of(pick, range(3, 7), turbines=(2, 5)), 50)
+    for step in ("detect_anomalies", "summarize", "impute_group_mean", "_days_of_sensors"):
+        with monkeypatch.context() as broken:
+            broken.setattr(incremental, step, lambda *_, **__: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                incremental.update(spark, config)
+    incremental.update(spark, config)
+    as_full_run(spark, config, tmp_path, "full")
+
+
+def test_files_without_rows(spark, config):
+    put(config, "a.csv", [], 0)
+    assert incremental.update(spark, config).readings == []
+    assert incremental.update(spark, config) == incremental.Changes()
+    put(config, "b.csv", ["x,1,2,3,4"], 50)
+    assert incremental.update(spark, config).readings == []
+
+
+def test_window_dates(spark):
+    day = date(2022, 3, 8)
+    assert incremental.window_dates(spark, [day], "1 day") == [day]
+    assert incremental.window_dates(spark, [day], "1 hour") == [day]
+    starts = incremental.window_dates(spark, [day], "36 hours")
+    assert set(starts) <= {date(2022, 3, 7), day} and starts
+    reached = incremental.covered_dates(spark, starts, "36 hours")
+    assert day in reached and all(abs((d - day).days) <= 2 for d in reached)

@@ -83,17 +83,23 @@ def impute_group_mean(
     measures: Sequence[str],
     flag: str | None = None,
     spread: Sequence[str] = (),
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Fill missing measures with the mean of their group over its whole history.
 
+    ``means``, when given, is what ``group_means`` gives for that history, of which ``df`` may then
+    be a part.
+
     Means are rounded to ten decimals before they fill a gap: the order in which doubles are
     added shows in their last digits only, so every run fills the same value. A group without any value stays NULL. ``flag`` names an optional boolean
     column that is true where at least one measure was filled.
     """
     # Groups without gaps need no means.
-    means = group_means(df, keys, measures).filter("incomplete_count > 0").select(
+    if means is None:
+        means = group_means(df, keys, measures)
+    means = means.filter("incomplete_count > 0").select(
         *keys,
-        *[_steady(f"mean_{m}").alias(f"__mean_{m}") for m in measures],
+        *[steady(f"mean_{m}").alias(f"__mean_{m}") for m in measures],
         F.col("reading_count").alias("__group_rows"),
     )
     joined = attach_group_values(
@@ -113,7 +119,8 @@ def impute_group_mean(
     )
 
 
-def _steady(mean: str) -> Column:
+def steady(mean: str) -> Column:
+    """A mean to the decimals that do not depend on the order in which doubles were added."""
     # Means too large for that many decimals are left as they are.
     rounded = F.col(mean).try_cast(DecimalType(18 + MEAN_DECIMALS, MEAN_DECIMALS))
     return F.coalesce(rounded.cast("double"), F.col(mean))
@@ -131,14 +138,19 @@ def to_decimal(df: DataFrame, measures: Sequence[str], decimal: tuple[int, int])
     return df.withColumns({m: F.col(m).cast(DecimalType(*decimal)) for m in measures})
 
 
+def valid_readings(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """One row per key, values out of range as gaps: what is left to do is to fill them."""
+    rows = drop_missing_keys(df, spec.reading_keys)
+    rows = keep_one_per_key(rows, spec.reading_keys, spec.tie_break)
+    return null_out(rows, spec.bounds)
+
+
 def clean(df: DataFrame, spec: SeriesSpec, flag: str | None = None) -> DataFrame:
     """Whole cleaning chain: keys, duplicates, ranges, imputation, decimals.
 
     The means and the rows they fill both come from the de-duplicated rows, and
     both read the one shuffle that removed the duplicates.
     """
-    rows = drop_missing_keys(df, spec.reading_keys)
-    rows = keep_one_per_key(rows, spec.reading_keys, spec.tie_break)
-    rows = null_out(rows, spec.bounds)
+    rows = valid_readings(df, spec)
     rows = impute_group_mean(rows, spec.keys, spec.measures, flag, spread=[spec.ts])
     return to_decimal(rows, spec.measures, spec.decimal)

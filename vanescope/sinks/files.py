@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vanescope.sources.readings import path_of_row
 
+READING_DATE = "reading_date"
+
 
 def write_parquet(
     df: DataFrame,
@@ -24,12 +27,45 @@ def write_parquet(
     ``sort_by`` orders the rows within each file, which gives tight value ranges
     to skip by, without a global sort.
     """
+    df = _arranged(df, date_of, sort_by)
+    writer = df.write.mode(mode)
+    (writer.partitionBy(READING_DATE) if date_of else writer).parquet(path)
+
+
+def _arranged(df: DataFrame, date_of: str | None, sort_by: Sequence[str]) -> DataFrame:
     if date_of:
-        df = df.withColumn("reading_date", F.to_date(date_of)).hint("rebalance", "reading_date")
+        df = df.withColumn(READING_DATE, F.to_date(date_of)).hint("rebalance", READING_DATE)
     if sort_by:
-        df = df.sortWithinPartitions(*(["reading_date"] if date_of else []), *sort_by)
-    writer = df.write.mode(mode)
-    (writer.partitionBy("reading_date") if date_of else writer).parquet(path)
+        df = df.sortWithinPartitions(*([READING_DATE] if date_of else []), *sort_by)
+    return df
+
+
+def replace_dates(
+    df: DataFrame,
+    path: str,
+    dates: Iterable[date],
+    date_of: str | None = None,
+    sort_by: Sequence[str] = (),
+) -> DataFrame:
+    """Replace the partitions of ``dates`` by ``df``, which has rows of these dates only; other dates stay.
+
+    The date is that of the time column ``date_of`` or, without one, the column ``reading_date`` of ``df``.
+    ``df`` may read the table itself: what it reads is replaced when all of it has been written. A date
+    without rows is removed. Gives the whole table.
+    """
+    spark = df.sparkSession
+    if date_of:
+        df = _arranged(df, date_of, sort_by)
+    # Seen on the way to the files, in the tasks that write them, which count once each.
+    seen = Observation()
+    watched = df.observe(seen, F.collect_set(READING_DATE).alias("dates"))
+    writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(READING_DATE).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in sorted(set(dates) - set(seen.get.get("dates") or [])):
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(place, f"{READING_DATE}={day}"), True)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -36,12 +36,17 @@ def list_csv_files(spark: SparkSession, directory: str) -> DataFrame:
 
     Raises FileNotFoundError when the directory is missing or has no CSV file.
     """
+    return list_versions(spark, directory).select(SOURCE_FILE)
+
+
+def list_versions(spark: SparkSession, directory: str) -> DataFrame:
+    """The CSV files of a directory with ``modified`` and ``length``; they are not read."""
     try:
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.csv")
             .load(directory)
-            .select(F.col("path").alias(SOURCE_FILE))
+            .select(F.col("path").alias(SOURCE_FILE), F.col("modificationTime").alias("modified"), "length")
         )
         empty = files.isEmpty()
     except AnalysisException as error:
@@ -59,8 +64,9 @@ def read_readings(
     schema: T.StructType = READING_FIELDS,
     timestamp_format: str = TIMESTAMP_FORMAT,
     check_header: bool = False,
+    modified_after: str | None = None,
 ) -> DataFrame:
-    """All CSV files of a directory in one scan.
+    """All CSV files of a directory in one scan, or those modified after a time of the session's zone.
 
     Malformed rows are kept: what could be parsed stays, the rest is NULL and the
     line itself goes to ``_corrupt_record``. ``source_file`` holds the path of the
@@ -69,8 +75,9 @@ def read_readings(
     malformed ones (see ``ingest_report``).
     """
     list_csv_files(spark, directory)
+    reader = spark.read if modified_after is None else spark.read.option("modifiedAfter", modified_after)
     return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vanescope.functions.columns import hour_of, with_snake_case_names
 from vanescope.operators import anomalies, cleaning, context, reports, states, summary
-from vanescope.plans import hours, layers, running
+from vanescope.plans import hours, incremental, layers, running
 from vanescope.shared import scratch_path
 from vanescope.sinks.files import land_raw_files, write_json_lines, write_parquet
 from vanescope.sources import hourly, readings
@@ -683,6 +683,42 @@ def gold_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def two_runs(spark: SparkSession, sf_dir: str) -> layers.RunConfig:
+    """Layers after two runs: events of afternoons come first, all others, of the same days, later."""
+    config = layers.RunConfig(
+        source=scratch_path(spark, "csv"), base=scratch_path(spark, "layers"), schema=CSV_SCHEMA,
+        spec=BY_USER, period="7 days", flag="is_imputed", check_header=True,
+    )
+    afternoon = F.coalesce(F.hour("ts") >= 12, F.lit(False))
+    for part in (afternoon, ~afternoon):
+        lines = csv_lines(table(spark, sf_dir, "events").filter(part))
+        lines.write.mode("append").option("header", True).csv(config.source)
+        incremental.update(spark, config)
+    return config
+
+
+@register("incremental_silver", SQL["silver_layer"])
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = layers.stored_tables(spark, two_runs(spark, sf_dir))["silver"]
+    rows = without_zone(rows.drop(readings.INGESTED_AT, "reading_date"), "ts")
+    return rows.withColumn("value", F.col("value").cast("double"))
+
+
+@register("incremental_summary", SQL["gold_summary"])
+def incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = layers.stored_tables(spark, two_runs(spark, sf_dir))["summary"].drop("reading_date")
+    return without_zone(summary_of_clean_columns(found), "window_start", "window_end")
+
+
+@register("incremental_anomalies", SQL["gold_anomalies"])
+def incremental_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = layers.stored_tables(spark, two_runs(spark, sf_dir))["anomalies"]
+    found = anomaly_columns(found.drop(readings.INGESTED_AT, "reading_date"), "value")
+    return without_zone(found, "ts", "window_start", "window_end").withColumn(
+        "value", F.col("value").cast("double")
+    )
+
+
 GOLD_FLAGGED_SQL = flagged_sql(
     f"SELECT * REPLACE (CAST(value AS DOUBLE) AS value) FROM ({SILVER_SQL})",
     "user_id",
