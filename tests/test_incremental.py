@@ -1,11 +1,16 @@
 import os
 import random
+import uuid
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
 
+from vanescope.operators.anomalies import detect_anomalies
+from vanescope.operators.cleaning import clean
+from vanescope.operators.summary import summarize
 from vanescope.plans import incremental, layers
+from vanescope.sources.readings import read_readings
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output"
 
@@ -39,16 +44,20 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.drop("reading_date", "ingestion_timestamp").collect()), key=repr)
 
 
-def as_full_run(spark, config, tmp_path, name):
-    full = layers.RunConfig(
-        source=config.source, base=str(tmp_path / name), period=config.period, flag=config.flag, keep_raw_files=False
-    )
-    layers.run(spark, full)
-    got, want = layers.stored_tables(spark, config), layers.stored_tables(spark, full)
-    for table in ("silver", "summary", "anomalies"):
-        assert got[table].drop("reading_date").columns == want[table].drop("reading_date").columns
-        assert rounded(rows_of(got[table])) == rounded(rows_of(want[table])), table
-    assert want["anomalies"].count() > 0
+def as_full_run(spark, config):
+    """The tables hold what the operators give for all files that are there."""
+    rows = read_readings(spark, config.source, config.schema).drop("_corrupt_record", "source_file")
+    path = f"{config.base}-whole-{uuid.uuid4().hex}"
+    clean(rows, config.spec, config.flag).coalesce(1).write.parquet(f"{path}/silver")
+    silver = spark.read.parquet(f"{path}/silver")
+    summarize(silver, config.spec, config.period).coalesce(1).write.parquet(f"{path}/summary")
+    summary = spark.read.parquet(f"{path}/summary")
+    want = {"silver": silver, "summary": summary, "anomalies": detect_anomalies(silver, config.spec, config.period, config.k, summary)}
+    got = layers.stored_tables(spark, config)
+    for table, df in want.items():
+        assert got[table].drop("reading_date", "ingestion_timestamp").columns == df.columns
+        assert rounded(rows_of(got[table])) == rounded(rows_of(df)), table
+    assert got["anomalies"].count() > 0
 
 
 def rounded(rows):
@@ -62,12 +71,12 @@ def files_by_date(path):
     return out
 
 
-def test_files_that_come_change_and_go(spark, config, tmp_path):
+def test_files_that_come_change_and_go(spark, config):
     pick = random.Random(1)
     put(config, "a.csv", lines_of(pick, range(0, 8)), 0)
     first = incremental.update(spark, config)
     assert first.readings == [date(2022, 3, 1) + timedelta(days=d) for d in range(8)]
-    as_full_run(spark, config, tmp_path, "one")
+    as_full_run(spark, config)
     # Nothing new, nothing done.
     assert incremental.update(spark, config) == incremental.Changes()
 
@@ -75,16 +84,16 @@ def test_files_that_come_change_and_go(spark, config, tmp_path):
     late = lines_of(pick, [3, 9], turbines=(2, 4)) + ["x,1,2,3,4", "2022-03-05 01:00:00,,1,1,1"]
     put(config, "b.csv", late, 50)
     incremental.update(spark, config)
-    as_full_run(spark, config, tmp_path, "two")
+    as_full_run(spark, config)
 
     # A file is replaced by one with other days, another one goes.
     put(config, "a.csv", lines_of(pick, range(2, 6)), 100)
     incremental.update(spark, config)
-    as_full_run(spark, config, tmp_path, "three")
+    as_full_run(spark, config)
     os.remove(Path(config.source) / "b.csv")
     put(config, "c.csv", lines_of(pick, [5]), 150)
     incremental.update(spark, config)
-    as_full_run(spark, config, tmp_path, "four")
+    as_full_run(spark, config)
     assert incremental.manifest(spark, config.base).count() == 2
 
 
@@ -104,7 +113,7 @@ def test_only_dates_of_new_rows_and_their_windows_are_rewritten(spark, config):
     assert len(changes.anomalies) <= 5
 
 
-def test_gaps_of_other_days_follow_the_mean(spark, config, tmp_path):
+def test_gaps_of_other_days_follow_the_mean(spark, config):
     put(config, "a.csv", ["2022-03-01 00:00:00,1,,10,1.0", "2022-03-01 02:00:00,1,10.0,10,1.0", "2022-03-05 00:00:00,2,,10,1.0", "2022-03-06 00:00:00,2,8.0,10,1.0"], 0)
     incremental.update(spark, config)
     put(config, "b.csv", ["2022-03-09 00:00:00,1,20.0,10,1.0"], 50)
@@ -115,18 +124,18 @@ def test_gaps_of_other_days_follow_the_mean(spark, config, tmp_path):
     assert {float(r.wind_speed) for r in silver.filter("is_imputed").collect()} == {15.0, 8.0}
 
 
-def test_a_run_that_failed_is_repeated_as_a_whole(spark, config, tmp_path, monkeypatch):
+def test_a_run_that_failed_is_repeated_as_a_whole(spark, config, monkeypatch):
     pick = random.Random(3)
     put(config, "a.csv", lines_of(pick, range(0, 5)), 0)
     incremental.update(spark, config)
     put(config, "b.csv", lines_of(pick, range(3, 7), turbines=(2, 5)), 50)
-    for step in ("detect_anomalies", "summarize", "impute_group_mean", "_days_of_sensors"):
+    for step in ("detect_anomalies", "impute_group_mean"):
         with monkeypatch.context() as broken:
             broken.setattr(incremental, step, lambda *_, **__: 1 / 0)
             with pytest.raises(ZeroDivisionError):
                 incremental.update(spark, config)
     incremental.update(spark, config)
-    as_full_run(spark, config, tmp_path, "full")
+    as_full_run(spark, config)
 
 
 def test_files_without_rows(spark, config):
@@ -139,9 +148,13 @@ def test_files_without_rows(spark, config):
 
 def test_window_dates(spark):
     day = date(2022, 3, 8)
-    assert incremental.window_dates(spark, [day], "1 day") == [day]
-    assert incremental.window_dates(spark, [day], "1 hour") == [day]
-    starts = incremental.window_dates(spark, [day], "36 hours")
-    assert set(starts) <= {date(2022, 3, 7), day} and starts
-    reached = incremental.covered_dates(spark, starts, "36 hours")
-    assert day in reached and all(abs((d - day).days) <= 2 for d in reached)
+    for period in ("1 day", "1 hour", "36 hours", "7 days", "90 minutes", "1 week"):
+        length = incremental.length_of(spark, period)
+        # By Spark's own windows, every ten minutes of the days around.
+        moments = [(datetime(2022, 3, 1) + timedelta(minutes=10 * n),) for n in range(6 * 24 * 21)]
+        found = spark.createDataFrame(moments, "t timestamp").selectExpr("to_date(t) AS d", f"window(t, '{period}') AS w").select("d", "w.start", "w.end")
+        rows = [tuple(r) for r in found.collect()]
+        starts = {a.date() for d, a, _ in rows if d == day}
+        assert set(incremental.window_dates([day], length)) >= starts
+        reached = incremental.covered_dates(starts, length)
+        assert set(reached) == {d for d, a, _ in rows if a.date() in starts} | {d for d in starts if d < date(2022, 3, 1)} | {d for d in reached if d < date(2022, 3, 1)}

@@ -21,7 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +36,7 @@ from vanescope.shared import scratch_path
 from vanescope.sinks.files import READING_DATE, replace_dates, write_parquet
 from vanescope.sources.readings import CORRUPT, SOURCE_FILE, list_versions, read_readings, stamp
 
+_EPOCH, _DAY, _TICK = datetime(1970, 1, 1), timedelta(days=1), timedelta(microseconds=1)
 _RUN = "ingest_run"
 _MANIFEST = f"{SOURCE_FILE} string, modified timestamp, length long, {_RUN} string, is_present boolean"
 
@@ -155,20 +156,32 @@ def _dates_with_other_means(days: DataFrame, means: DataFrame, before: DataFrame
     return _dates(gaps.join(moved, list(spec.keys), "left_semi"))
 
 
-def window_dates(spark: SparkSession, dates: Iterable[date], period: str) -> list[date]:
-    """Days on which the windows start that meet any of the days."""
-    days = spark.createDataFrame([(d,) for d in dates], "d date")
-    moments = days.select("d", F.explode(F.array(F.expr("CAST(d AS TIMESTAMP)"), F.expr("CAST(d AS TIMESTAMP) + INTERVAL 86399999999 MICROSECONDS"))).alias("t"))
-    starts = moments.selectExpr("d", f"to_date(window(t, '{period}').start) AS s").groupBy("d").agg(F.min("s").alias("a"), F.max("s").alias("b"))
-    return _dates(starts.select(F.explode(F.sequence("a", "b")).alias(READING_DATE)))
+def length_of(spark: SparkSession, period: str) -> timedelta:
+    """How long windows of a period are."""
+    window = spark.range(1).selectExpr(f"window(TIMESTAMP '1970-01-01 00:00:00', '{period}') AS w").select("w.*").first()
+    return window["end"] - window["start"]
 
 
-def covered_dates(spark: SparkSession, starts: Iterable[date], period: str) -> list[date]:
+def window_dates(dates: Iterable[date], length: timedelta) -> list[date]:
+    """Days on which the windows start that meet any of the days. Windows are aligned to the epoch."""
+    found: set[date] = set()
+    for day in dates:
+        since = datetime.combine(day, time()) - _EPOCH
+        found.update(_days(_EPOCH + since // length * length, _EPOCH + (since + _DAY - _TICK) // length * length))
+    return sorted(found)
+
+
+def covered_dates(starts: Iterable[date], length: timedelta) -> list[date]:
     """Days that windows which start on any of the days can reach."""
-    days = spark.createDataFrame([(d,) for d in starts], "d date")
-    last = days.selectExpr("d", "CAST(d AS TIMESTAMP) + INTERVAL 86399999999 MICROSECONDS AS t")
-    ends = last.selectExpr("d", f"to_date(window(t, '{period}').end - INTERVAL 1 MICROSECOND) AS e")
-    return _dates(ends.select(F.explode(F.sequence("d", "e")).alias(READING_DATE)))
+    found: set[date] = set()
+    for day in starts:
+        last = datetime.combine(day, time()) - _EPOCH + _DAY - _TICK
+        found.update(_days(datetime.combine(day, time()), _EPOCH + (last // length + 1) * length - _TICK))
+    return sorted(found)
+
+
+def _days(first: datetime, last: datetime) -> list[date]:
+    return [first.date() + timedelta(days=n) for n in range((last.date() - first.date()).days + 1)]
 
 
 def update(spark: SparkSession, config: RunConfig) -> Changes:
@@ -210,14 +223,15 @@ def update(spark: SparkSession, config: RunConfig) -> Changes:
         to_decimal(filled, spec.measures, spec.decimal), layers.silver, rewritten, date_of=spec.ts, sort_by=spec.reading_keys
     )
 
-    starts = window_dates(spark, rewritten, config.period)
-    reached = covered_dates(spark, starts, config.period)
+    length = length_of(spark, config.period)
+    starts = window_dates(rewritten, length)
+    reached = covered_dates(starts, length)
     summaries = summarize(_on(silver, reached).drop(READING_DATE), spec, config.period)
     summary = replace_dates(
         summaries.filter(F.to_date(WINDOW_START).isin(starts)),
         layers.summary, starts, date_of=WINDOW_START, sort_by=[*spec.keys, WINDOW_START],
     )
-    baselines = _on(summary, window_dates(spark, reached, config.period)).drop(READING_DATE)
+    baselines = _on(summary, window_dates(reached, length)).drop(READING_DATE)
     found = detect_anomalies(_on(silver, reached).drop(READING_DATE), spec, config.period, config.k, baselines)
     replace_dates(found, layers.anomalies, reached, date_of=spec.ts, sort_by=spec.reading_keys)
 
