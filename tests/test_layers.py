@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 
 from vanescope.plans import layers
+from vanescope.sinks.files import landed_files, write_parquet
 
 BOUNDS = [(0, 25), (0, 360), (0, 2.5)]
 
@@ -102,6 +103,9 @@ def test_counts_report_and_views(spark, run):
     rows, config, (_, anomalies) = run
     counts = {r.table_name: r.rows for r in layers.layer_counts(spark, config).collect()}
     assert counts["bronze"] == counts["silver"] == len(rows)
+    # Taken while the tables were written.
+    noted = {r.table_name: (r.row_count, r.corrupt_count) for r in layers.run_counts(spark, config).collect()}
+    assert noted == {name: (n, 0 if name == "bronze" else None) for name, n in counts.items()}
     report = layers.bronze_report(spark, config).collect()
     assert [r.row_count for r in report if r.is_total] == [len(rows)]
     assert len(report) == 4 and all(r.corrupt_count == 0 for r in report)
@@ -120,7 +124,7 @@ def test_bronze_keeps_lineage_and_raw_bytes(spark, run):
     bronze = layers.stored_tables(spark, config)["bronze"]
     assert bronze.select("ingestion_timestamp").distinct().count() == 1
     assert bronze.select("source_file").distinct().count() == 3
-    raw = spark.read.parquet(layers.Layers(config.base).raw_files + "/files")
+    raw = landed_files(spark, layers.Layers(config.base).raw_files)
     assert raw.filter("ends_with_line_feed").count() == raw.count() == 3
     report = spark.read.parquet(layers.Layers(config.base).report)
     assert report.count() == 4
@@ -150,3 +154,16 @@ def test_tables_by_date_and_flag(spark, run, tmp_path):
 def test_publishing_needs_a_database(spark, run):
     with pytest.raises(ValueError):
         layers.publish(spark, run[1])
+
+
+def test_counts_taken_on_the_way_to_the_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    counts = {"row_count": "count(*)", "total": "sum(id)"}
+    nothing = spark.range(10).filter("id > 100")
+    assert write_parquet(nothing, str(tmp_path / "a"), counts=counts)["row_count"] == 0
+    assert write_parquet(spark.createDataFrame([], "id long"), str(tmp_path / "b"), counts=counts)["row_count"] == 0
+    dated = spark.range(1000).withColumn("at", F.timestamp_seconds(F.col("id") * 3600))
+    found = write_parquet(dated, str(tmp_path / "c"), date_of="at", sort_by=["id"], counts=counts)
+    assert found == {"row_count": 1000, "total": 499500}
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 1000

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanescope.operators.reports import ingest_report
-from vanescope.sinks.files import land_raw_files, write_parquet
+from vanescope.sinks.files import land_raw_files, landed_files, write_parquet
 from vanescope.sources.database import postgres_options
 from vanescope.sources.readings import list_csv_files, read_readings, stamp
 
@@ -114,7 +114,7 @@ def test_raw_files_keep_every_byte(spark, csv_dir, tmp_path):
         land_raw_files(spark, str(csv_dir), str(tmp_path / "landed"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    files = spark.read.parquet(str(tmp_path / "landed/files")).collect()
+    files = landed_files(spark, str(tmp_path / "landed")).collect()
     lines = spark.read.parquet(str(tmp_path / "landed/lines")).orderBy(
         "path", "split_start", "line_in_split"
     )

@@ -33,6 +33,10 @@ SERVING_TABLES = {
 }
 
 
+#: Per table, the counts taken while it was written.
+Counts = dict[str, dict[str, int]]
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the tables of one run live, below one base path."""
@@ -51,6 +55,10 @@ class Layers:
     def report(self) -> str:
         return f"{self.base}/bronze/report"
 
+    @property
+    def counts(self) -> str:
+        return f"{self.base}/run_counts"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver"
@@ -66,7 +74,11 @@ class Layers:
 
 @dataclass(frozen=True)
 class RunConfig:
-    """One run from a CSV directory to the Gold tables."""
+    """One run from a CSV directory to the Gold tables.
+
+    by_date   partition Silver and Gold by date. It costs a shuffle per table and a file per day, and
+              pays where a day fills files of its own, from about 100 MB on
+    """
 
     source: str
     base: str
@@ -75,7 +87,7 @@ class RunConfig:
     period: str = "1 day"
     k: float = 2.0
     flag: str | None = None
-    by_date: bool = True
+    by_date: bool = False
     mode: str = "overwrite"
     check_header: bool = False
     keep_raw_files: bool = True
@@ -84,18 +96,32 @@ class RunConfig:
     run_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
 
-def bronze(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """Land the raw files and store all parsed rows with file, time and malformed lines."""
+# Counted while a layer is written.
+_ROWS = {"row_count": "count(*)"}
+_ROWS_OF_BRONZE = {**_ROWS, "corrupt_count": f"count({CORRUPT})"}
+
+
+def bronze(spark: SparkSession, config: RunConfig, counts: Counts | None = None) -> DataFrame:
+    """Land the raw files and store all parsed rows with file, time and malformed lines.
+
+    Like the other layers, it puts the counts taken on the way into ``counts``, if given.
+    """
     layers = Layers(config.base)
     rows = read_readings(
         spark, config.source, config.schema, check_header=config.check_header
     )
     if config.keep_raw_files:
         land_raw_files(spark, config.source, layers.raw_files, mode=config.mode)
-    write_parquet(stamp(rows, config.run_time), layers.bronze, config.mode)
+    rows = stamp(rows, config.run_time)
+    _note(counts, "bronze", write_parquet(rows, layers.bronze, config.mode, counts=_ROWS_OF_BRONZE))
     return spark.read.parquet(layers.bronze)
 
 
+def _note(counts: Counts | None, table: str, found: dict[str, int]) -> None:
+    if counts is not None:
+        counts[table] = found
+
+
 def bronze_report(spark: SparkSession, config: RunConfig) -> DataFrame:
     """Rows and malformed rows per source file and in total."""
     return ingest_report(
@@ -104,39 +130,47 @@ def bronze_report(spark: SparkSession, config: RunConfig) -> DataFrame:
     )
 
 
-def silver(spark: SparkSession, config: RunConfig) -> DataFrame:
+def silver(spark: SparkSession, config: RunConfig, counts: Counts | None = None) -> DataFrame:
     """Store the cleaned readings."""
     layers, spec = Layers(config.base), config.spec
     rows = spark.read.parquet(layers.bronze).drop(CORRUPT, SOURCE_FILE)
-    write_parquet(
+    found = write_parquet(
         clean(rows, spec, config.flag),
         layers.silver,
         config.mode,
         date_of=spec.ts if config.by_date else None,
         sort_by=spec.reading_keys,
+        counts=_ROWS,
     )
+    _note(counts, "silver", found)
     return spark.read.parquet(layers.silver)
 
 
-def gold(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, DataFrame]:
+def gold(
+    spark: SparkSession, config: RunConfig, counts: Counts | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Store summary statistics and anomalies; the anomalies use the stored summary."""
     layers, spec = Layers(config.base), config.spec
     readings = spark.read.parquet(layers.silver).drop("reading_date")
-    write_parquet(
+    found = write_parquet(
         summarize(readings, spec, config.period),
         layers.summary,
         config.mode,
         date_of="window_start" if config.by_date else None,
         sort_by=[*spec.keys, "window_start"],
+        counts=_ROWS,
     )
+    _note(counts, "summary", found)
     summary = spark.read.parquet(layers.summary).drop("reading_date")
-    write_parquet(
+    found = write_parquet(
         detect_anomalies(readings, spec, config.period, config.k, summary),
         layers.anomalies,
         config.mode,
         date_of=spec.ts if config.by_date else None,
         sort_by=spec.reading_keys,
+        counts=_ROWS,
     )
+    _note(counts, "anomalies", found)
     return summary, spark.read.parquet(layers.anomalies).drop("reading_date")
 
 
@@ -148,6 +182,11 @@ def stored_tables(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame
     }
 
 
+def run_counts(spark: SparkSession, config: RunConfig) -> DataFrame:
+    """Rows, and malformed rows of Bronze, of each table as the last run wrote them."""
+    return spark.read.parquet(Layers(config.base).counts)
+
+
 def layer_counts(spark: SparkSession, config: RunConfig) -> DataFrame:
     """Rows per stored layer."""
     return row_counts(stored_tables(spark, config))
@@ -175,12 +214,16 @@ def publish(spark: SparkSession, config: RunConfig) -> None:
 def run(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, DataFrame]:
     """CSV directory to Bronze, Silver and Gold, and to the database if configured.
 
-    The rows and malformed rows of each file are stored beside Bronze.
+    The rows and malformed rows of each file are stored beside Bronze, those of each layer in ``run_counts``.
     """
-    bronze(spark, config)
+    counts: Counts = {}
+    bronze(spark, config, counts)
     write_parquet(bronze_report(spark, config), Layers(config.base).report, config.mode)
-    silver(spark, config)
-    summary, anomalies = gold(spark, config)
+    silver(spark, config, counts)
+    summary, anomalies = gold(spark, config, counts)
+    lines = [(table, c["row_count"], c.get("corrupt_count")) for table, c in counts.items()]
+    noted = spark.createDataFrame(lines, "table_name string, row_count long, corrupt_count long")
+    write_parquet(noted.coalesce(1), Layers(config.base).counts, config.mode)
     if config.database is not None:
         publish(spark, config)
     return summary, anomalies

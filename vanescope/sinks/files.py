@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +20,25 @@ def write_parquet(
     mode: str = "overwrite",
     date_of: str | None = None,
     sort_by: Sequence[str] = (),
-) -> None:
+    counts: Mapping[str, str] | None = None,
+) -> dict[str, Any]:
     """Write a Parquet table.
 
     ``date_of`` names a time column by whose day, in ``reading_date``, the table is
     partitioned. A rebalance gathers each day in few files and splits large days.
     ``sort_by`` orders the rows within each file, which gives tight value ranges
-    to skip by, without a global sort.
+    to skip by, without a global sort. ``counts`` are SQL aggregates over the rows, taken while they are written
+    and returned under their names. They are taken in the tasks that write, after any shuffle: Spark
+    takes over one result of each, however often it ran.
     """
     df = _arranged(df, date_of, sort_by)
+    seen = Observation()
+    if counts:
+        df = df.observe(seen, *[F.expr(c).alias(name) for name, c in counts.items()])
     writer = df.write.mode(mode)
     (writer.partitionBy(READING_DATE) if date_of else writer).parquet(path)
+    # A table that is known to be empty before it is written has no tasks and no counts.
+    return {name: 0 for name in counts} | seen.get if counts else {}
 
 
 def _arranged(df: DataFrame, date_of: str | None, sort_by: Sequence[str]) -> DataFrame:
@@ -84,8 +93,7 @@ def land_raw_files(
 
     ``target/lines`` has one row per line: path, first byte of the split it was read in, number
     within the split, and the bytes of the line without its line feed. ``target/files`` has one row
-    per file that has a byte: path, time, length and whether the last line ends with a line feed.
-    Lines joined by line feeds, in order of split and number, and one more if the file says so, are the file.
+    per file that has a byte: path, time and length. ``landed_files`` tells which end with a line feed.
     """
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(source)
     (
@@ -98,6 +106,15 @@ def land_raw_files(
         .write.mode(mode)
         .parquet(f"{target}/lines")
     )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source)
+    files.select("path", "modificationTime", "length").write.mode(mode).parquet(f"{target}/files")
+
+
+def landed_files(spark: SparkSession, target: str) -> DataFrame:
+    """The files landed in ``target``, with ``ends_with_line_feed``.
+
+    Lines joined by line feeds, in order of split and number, and one more if the file says so, are the file.
+    """
     # Without the last line feed a file is one byte shorter than its lines and their ends.
     landed = (
         spark.read.parquet(f"{target}/lines")
@@ -105,16 +122,8 @@ def land_raw_files(
         .agg(F.sum(F.octet_length("line") + 1).alias("__bytes"))
         .withColumnRenamed("path", "__path")
     )
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source)
-    files = files.select("path", "modificationTime", "length")
-    (
-        files.join(landed, F.col("path") == F.col("__path"), "left")
-        .select(
-            "path",
-            "modificationTime",
-            "length",
-            F.coalesce(F.col("__bytes") == F.col("length"), F.lit(False)).alias("ends_with_line_feed"),
-        )
-        .write.mode(mode)
-        .parquet(f"{target}/files")
+    files = spark.read.parquet(f"{target}/files")
+    return files.join(landed, F.col("path") == F.col("__path"), "left").select(
+        *files.columns,
+        F.coalesce(F.col("__bytes") == F.col("length"), F.lit(False)).alias("ends_with_line_feed"),
     )

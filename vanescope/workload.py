@@ -17,7 +17,7 @@ from vanescope.functions.columns import hour_of, with_snake_case_names
 from vanescope.operators import anomalies, cleaning, context, reports, states, summary
 from vanescope.plans import hours, incremental, layers, running
 from vanescope.shared import scratch_path
-from vanescope.sinks.files import land_raw_files, write_json_lines, write_parquet
+from vanescope.sinks.files import land_raw_files, landed_files, write_json_lines, write_parquet
 from vanescope.sources import hourly, readings
 from vanescope.spec import SeriesSpec
 
@@ -744,6 +744,22 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.layer_counts(spark, config)
 
 
+@register(
+    "run_counts",
+    f"""
+    SELECT 'bronze' AS table_name, count(*) AS row_count, count_if(is_malformed) AS corrupt_count FROM ({CSV_SQL})
+    UNION ALL SELECT 'silver', count(*), NULL FROM ({SILVER_SQL})
+    UNION ALL SELECT 'summary', count(*), NULL FROM ({summary_of_clean_sql(SILVER_SQL, "7 days")})
+    UNION ALL SELECT 'anomalies', count(*), NULL FROM ({GOLD_FLAGGED_SQL})
+    """,
+)
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each layer as they were counted while it was written."""
+    config = run_config(spark, sf_dir)
+    layers.run(spark, config)
+    return layers.run_counts(spark, config)
+
+
 @register(
     "serving_views",
     f"SELECT user_id, count(*) AS anomaly_count FROM ({GOLD_FLAGGED_SQL}) "
@@ -769,7 +785,7 @@ def land_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     source, target = scratch_path(spark, "raw"), scratch_path(spark, "landed")
     table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").write.csv(source)
     land_raw_files(spark, source, target)
-    return spark.read.parquet(f"{target}/lines"), spark.read.parquet(f"{target}/files")
+    return spark.read.parquet(f"{target}/lines"), landed_files(spark, target)
 
 
 @register("raw_lines", RAW_LINES_SQL)
