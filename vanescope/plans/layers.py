@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanescope.operators.anomalies import detect_anomalies
@@ -110,11 +113,18 @@ def bronze(spark: SparkSession, config: RunConfig, counts: Counts | None = None)
     rows = read_readings(
         spark, config.source, config.schema, check_header=config.check_header
     )
-    if config.keep_raw_files:
-        land_raw_files(spark, config.source, layers.raw_files, mode=config.mode)
     rows = stamp(rows, config.run_time)
-    _note(counts, "bronze", write_parquet(rows, layers.bronze, config.mode, counts=_ROWS_OF_BRONZE))
-    return spark.read.parquet(layers.bronze)
+    jobs = [lambda: write_parquet(rows, layers.bronze, config.mode, counts=_ROWS_OF_BRONZE)]
+    if config.keep_raw_files:
+        jobs.append(lambda: land_raw_files(spark, config.source, layers.raw_files, mode=config.mode))
+    _note(counts, "bronze", _side_by_side(*jobs)[0])
+    return spark.read.schema(rows.schema).parquet(layers.bronze)
+
+
+def _side_by_side(*jobs: Callable[[], Any]) -> list[Any]:
+    """Results of jobs that do not depend on each other; the executors that one leaves idle work on the next."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [running.result() for running in [pool.submit(job) for job in jobs]]
 
 
 def _note(counts: Counts | None, table: str, found: dict[str, int]) -> None:
@@ -218,12 +228,25 @@ def run(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, DataFrame]:
     """
     counts: Counts = {}
     bronze(spark, config, counts)
-    write_parquet(bronze_report(spark, config), Layers(config.base).report, config.mode)
-    silver(spark, config, counts)
-    summary, anomalies = gold(spark, config, counts)
-    lines = [(table, c["row_count"], c.get("corrupt_count")) for table, c in counts.items()]
-    noted = spark.createDataFrame(lines, "table_name string, row_count long, corrupt_count long")
-    write_parquet(noted.coalesce(1), Layers(config.base).counts, config.mode)
+
+    def later_layers() -> tuple[DataFrame, DataFrame]:
+        silver(spark, config, counts)
+        return gold(spark, config, counts)
+
+    (summary, anomalies), _ = _side_by_side(
+        later_layers,
+        lambda: write_parquet(bronze_report(spark, config), Layers(config.base).report, config.mode),
+    )
+    lines = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(found["row_count"]).cast("long").alias("row_count"),
+            F.lit(found.get("corrupt_count")).cast("long").alias("corrupt_count"),
+        )
+        for table, found in counts.items()
+    ]
+    noted = spark.range(0, 1, 1, 1).select(F.inline(F.array(*lines)))
+    write_parquet(noted, Layers(config.base).counts, config.mode)
     if config.database is not None:
         publish(spark, config)
     return summary, anomalies

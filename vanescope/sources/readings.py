@@ -28,7 +28,9 @@ READING_FIELDS = T.StructType(
 
 def path_of_row() -> Column:
     """Path of the file a row is read from, as a listing of files has it: without escapes."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.col("_metadata.file_path")
+    # Most paths have no escapes, and decoding each row's path would be much of the work of a scan.
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def list_csv_files(spark: SparkSession, directory: str) -> DataFrame:
