@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from vanescope.functions.columns import (
@@ -28,15 +30,33 @@ def detect_anomalies(
     NULL and nothing is flagged. ``summary``, when given, is the stored result of
     ``summarize`` over the same readings and period, which saves computing it again.
     """
-    label, unit = spec.label, spec.unit
-    mean, stddev = f"mean_{label}", f"stddev_{label}"
-    lower, upper = f"lower_bound_{unit}", f"upper_bound_{unit}"
-
     if summary is None:
         summary = summarize(df, spec, period)
+    # A reading without sensor has no baseline and can never be flagged.
+    rows = add_window_start(df.filter(all_present(spec.keys)), spec.ts, period)
+    rows = attach_group_values(
+        rows,
+        baselines(summary, spec, k),
+        [*spec.keys, WINDOW_START],
+        baseline_columns(spec),
+        size="reading_count",
+        spread=[spec.ts],
+    )
+    return flagged(rows, df.columns, spec, period)
+
+
+def baseline_columns(spec: SeriesSpec) -> list[str]:
+    """Mean, deviation, lower and upper bound."""
+    return [f"mean_{spec.label}", f"stddev_{spec.label}", f"lower_bound_{spec.unit}", f"upper_bound_{spec.unit}"]
+
+
+def baselines(summary: DataFrame, spec: SeriesSpec, k: float) -> DataFrame:
+    """Baselines and ``reading_count`` of the windows that have anomalies."""
+    label = spec.label
+    mean, stddev, lower, upper = baseline_columns(spec)
     # Only groups whose smallest or largest reading is out of bounds have anomalies.
     # They are few, so mostly they can be broadcast where all groups could not.
-    baselines = summary.selectExpr(
+    return summary.selectExpr(
         *[f"`{c}`" for c in spec.keys],
         WINDOW_START,
         f"`avg_{label}` AS `{mean}`",
@@ -48,19 +68,13 @@ def detect_anomalies(
         "reading_count",
     ).filter(f"__min < `{lower}` OR __max > `{upper}`")
 
-    # A reading without sensor has no baseline and can never be flagged.
-    rows = add_window_start(df.filter(all_present(spec.keys)), spec.ts, period)
-    rows = attach_group_values(
-        rows,
-        baselines,
-        [*spec.keys, WINDOW_START],
-        [mean, stddev, lower, upper],
-        size="reading_count",
-        spread=[spec.ts],
-    )
+
+def flagged(rows: DataFrame, columns: Sequence[str], spec: SeriesSpec, period: str) -> DataFrame:
+    """Those of ``rows``, which have baselines and ``window_start`` beside their ``columns``, that are out of bounds."""
+    mean, stddev, lower, upper = baseline_columns(spec)
     found = rows.selectExpr(
         *[f"`{c}`" for c in spec.keys],
-        *[f"`{c}`" for c in df.columns if c not in spec.keys],
+        *[f"`{c}`" for c in columns if c not in spec.keys],
         f"`{mean}`",
         f"`{stddev}`",
         f"`{lower}`",

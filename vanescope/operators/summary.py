@@ -14,8 +14,13 @@ def summarize(df: DataFrame, spec: SeriesSpec, period: str = "1 day") -> DataFra
 
     ``reading_count`` counts rows, also those without a value.
     """
+    rows = add_window_start(df.select(*spec.keys, spec.ts, spec.target), spec.ts, period)
+    return add_window_end(summarize_windows(rows, spec), period)
+
+
+def summarize_windows(rows: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The same of rows that have their ``window_start``, without the end of the windows."""
     value, label = spec.target, spec.label
-    rows = add_window_start(df.select(*spec.keys, spec.ts, value), spec.ts, period)
     groups = rows.groupBy(*spec.keys, WINDOW_START).agg(
         F.min(value).alias(f"min_{label}"),
         F.max(value).alias(f"max_{label}"),
@@ -23,12 +28,9 @@ def summarize(df: DataFrame, spec: SeriesSpec, period: str = "1 day") -> DataFra
         F.stddev_samp(value).alias(f"stddev_{label}"),
         F.count("*").alias("reading_count"),
     )
-    return add_window_end(
-        groups.select(
-            *spec.keys,
-            *[f"{s}_{label}" for s in ("min", "max", "avg", "stddev")],
-            "reading_count",
-            WINDOW_START,
-        ),
-        period,
+    return groups.select(
+        *spec.keys,
+        *[f"{s}_{label}" for s in ("min", "max", "avg", "stddev")],
+        "reading_count",
+        WINDOW_START,
     )

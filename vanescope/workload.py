@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vanescope.functions.columns import hour_of, with_snake_case_names
 from vanescope.operators import anomalies, cleaning, context, reports, states, summary
-from vanescope.plans import hours, incremental, layers, running
+from vanescope.plans import buckets, hours, incremental, layers, running
 from vanescope.shared import scratch_path
 from vanescope.sinks.files import land_raw_files, landed_files, write_json_lines, write_parquet
 from vanescope.sources import hourly, readings
@@ -312,6 +312,28 @@ def anomalies_user_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly_columns(found, "value")
 
 
+def bucketed_events(spark: SparkSession, sf_dir: str, period: str) -> str:
+    path = scratch_path(spark, "buckets")
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets.write_buckets(table(spark, sf_dir, "events"), name, path, BY_USER, period, buckets=8)
+    return name
+
+
+@register("bucketed_summary", SQL["summary_user_day"])
+def bucketed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of readings stored by user and day, which are not shuffled."""
+    name = bucketed_events(spark, sf_dir, "1 day")
+    result = buckets.bucketed_summary(spark, name, BY_USER, "1 day")
+    return result.withColumns(rounded("avg_value", "stddev_value"))
+
+
+@register("bucketed_anomalies", SQL["anomalies_user_week"])
+def bucketed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies of readings stored by user and week, which are not shuffled."""
+    name = bucketed_events(spark, sf_dir, "7 days")
+    return anomaly_columns(buckets.bucketed_anomalies(spark, name, BY_USER, "7 days"), "value")
+
+
 @register(
     "anomalies_supplier_quarter",
     anomalies_sql(
