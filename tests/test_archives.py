@@ -1,0 +1,89 @@
+import zipfile
+
+import pytest
+from test_sources import HEADER, LINES
+
+from vanescope.operators.reports import ingest_report
+from vanescope.plans import layers
+from vanescope.sources import archives
+from vanescope.sources.readings import read_readings
+
+
+@pytest.fixture
+def sources(tmp_path):
+    """The same files as they are and in two archives, in folders, with members that are no readings."""
+    parts = {
+        "group_1.csv": HEADER + "\n".join(LINES[:5]) + "\n",
+        "group_2.csv": HEADER + "\r\n".join(LINES[5:]),
+        "more.csv": HEADER + "\n\n" + LINES[0] + "\n  \n" + '"2022-03-01 09:00:00",4,"1.5",1,1\n',
+        "empty.csv": HEADER,
+        "unicode.csv": HEADER + "bad,é漢字,1,2,3\n",
+    }
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    plain.mkdir()
+    packed.mkdir()
+    for name, text in parts.items():
+        (plain / name).write_bytes(text.encode())
+    for archive, names in (("one.zip", ["group_1.csv", "more.csv", "empty.csv"]), ("two.zip", ["group_2.csv", "unicode.csv"])):
+        with zipfile.ZipFile(packed / archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for name in names:
+                out.writestr(f"data/{name}" if name != "more.csv" else name, parts[name])
+            out.writestr("__MACOSX/._group_1.csv", "archive metadata")
+            out.writestr("data/", "")
+            out.writestr("notes.txt", "no readings")
+    return str(plain), str(packed)
+
+
+def rows(df):
+    # Written out, as NaN equals nothing.
+    return sorted(repr([r[c] for c in df.columns if c != "source_file"] + [r.source_file.rpartition("/")[2]]) for r in df.collect())
+
+
+def test_rows_are_those_of_the_files(spark, sources, monkeypatch):
+    plain, packed = sources
+    want = read_readings(spark, plain)
+    for at_once in (20_000, 3, 1):
+        monkeypatch.setattr(archives, "LINES_AT_ONCE", at_once)
+        got = archives.read_archived_readings(spark, packed)
+        assert got.columns == want.columns and got.schema == want.schema
+        assert rows(got) == rows(want)
+    assert sum(r._corrupt_record is not None for r in got.collect()) >= 5
+
+
+def test_source_names_archive_and_member(spark, sources):
+    _, packed = sources
+    files = {r.source_file for r in archives.archived_files(spark, packed).collect()}
+    assert {f.rpartition("/packed/")[2] for f in files} == {
+        "one.zip!/data/group_1.csv", "one.zip!/more.csv", "one.zip!/data/empty.csv", "two.zip!/data/group_2.csv", "two.zip!/data/unicode.csv",
+    }
+    report = ingest_report(archives.read_archived_readings(spark, packed), files=archives.archived_files(spark, packed))
+    assert {r.source_file.rpartition("/")[2]: r.row_count for r in report.collect() if not r.is_total}["empty.csv"] == 0
+
+
+def test_missing_archives_are_an_error(spark, tmp_path, sources):
+    with pytest.raises(FileNotFoundError):
+        archives.read_archived_readings(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError):
+        archives.read_archived_readings(spark, sources[0])
+
+
+def test_a_broken_archive_is_an_error(spark, tmp_path):
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="BadZipFile|not a zip"):
+        archives.read_archived_readings(spark, str(tmp_path)).collect()
+
+
+def test_layers_from_archives(spark, sources, tmp_path):
+    plain, packed = sources
+    results = []
+    for source, archived in ((plain, False), (packed, True)):
+        config = layers.RunConfig(source=source, base=str(tmp_path / f"tables-{archived}"), archived=archived)
+        layers.run(spark, config)
+        tables = layers.stored_tables(spark, config)
+        report = spark.read.parquet(layers.Layers(config.base).report)
+        results.append([rows(tables["bronze"].drop("ingestion_timestamp")), sorted(map(repr, tables["silver"].drop("ingestion_timestamp").collect())), report.count()])
+    assert results[0] == results[1]
+    landed = spark.read.parquet(layers.Layers(config.base).raw_files + "/archives")
+    assert {r.path.rpartition("/")[2]: bytes(r.content) for r in landed.collect()} == {
+        name: (tmp_path / "packed" / name).read_bytes() for name in ("one.zip", "two.zip")
+    }

@@ -17,7 +17,8 @@ from vanescope.operators.cleaning import clean
 from vanescope.operators.reports import ingest_report, row_counts
 from vanescope.operators.summary import summarize
 from vanescope.sinks.database import write_table
-from vanescope.sinks.files import land_raw_files, write_parquet
+from vanescope.sinks.files import land_archives, land_raw_files, write_parquet
+from vanescope.sources.archives import archived_files, read_archived_readings
 from vanescope.sources.readings import (
     CORRUPT,
     SOURCE_FILE,
@@ -79,6 +80,7 @@ class Layers:
 class RunConfig:
     """One run from a CSV directory to the Gold tables.
 
+    archived  the directory holds zip archives of CSV files
     by_date   partition Silver and Gold by date. It costs a shuffle per table and a file per day, and
               pays where a day fills files of its own, from about 100 MB on
     """
@@ -93,6 +95,7 @@ class RunConfig:
     by_date: bool = False
     mode: str = "overwrite"
     check_header: bool = False
+    archived: bool = False
     keep_raw_files: bool = True
     database: Mapping[str, str] | None = None
     connections: int = 8
@@ -110,13 +113,15 @@ def bronze(spark: SparkSession, config: RunConfig, counts: Counts | None = None)
     Like the other layers, it puts the counts taken on the way into ``counts``, if given.
     """
     layers = Layers(config.base)
-    rows = read_readings(
-        spark, config.source, config.schema, check_header=config.check_header
-    )
+    if config.archived:
+        rows = read_archived_readings(spark, config.source, config.schema)
+    else:
+        rows = read_readings(spark, config.source, config.schema, check_header=config.check_header)
     rows = stamp(rows, config.run_time)
     jobs = [lambda: write_parquet(rows, layers.bronze, config.mode, counts=_ROWS_OF_BRONZE)]
     if config.keep_raw_files:
-        jobs.append(lambda: land_raw_files(spark, config.source, layers.raw_files, mode=config.mode))
+        land = land_archives if config.archived else land_raw_files
+        jobs.append(lambda: land(spark, config.source, layers.raw_files, mode=config.mode))
     _note(counts, "bronze", _side_by_side(*jobs)[0])
     return spark.read.schema(rows.schema).parquet(layers.bronze)
 
@@ -136,7 +141,7 @@ def bronze_report(spark: SparkSession, config: RunConfig) -> DataFrame:
     """Rows and malformed rows per source file and in total."""
     return ingest_report(
         spark.read.parquet(Layers(config.base).bronze),
-        files=list_csv_files(spark, config.source),
+        files=(archived_files if config.archived else list_csv_files)(spark, config.source),
     )
 
 

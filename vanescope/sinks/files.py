@@ -110,6 +110,12 @@ def land_raw_files(
     files.select("path", "modificationTime", "length").write.mode(mode).parquet(f"{target}/files")
 
 
+def land_archives(spark: SparkSession, source: str, target: str, mode: str = "overwrite") -> None:
+    """Keep zip archives as they came: ``target/archives`` has one row per file, with its bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(source)
+    files.write.mode(mode).parquet(f"{target}/archives")
+
+
 def landed_files(spark: SparkSession, target: str) -> DataFrame:
     """The files landed in ``target``, with ``ends_with_line_feed``.
 
