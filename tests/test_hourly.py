@@ -147,3 +147,47 @@ def test_context_off_the_hour_counts_for_its_hour(spark):
     )
     got = {r.id: r.peak for r in attach_hourly(rows, context, "t").collect()}
     assert got == {0: 4.0, 1: 7.0, 2: None}
+
+
+def test_long_hours_take_every_parameter_and_source(spark):
+    from vanescope.sources.hourly import long_hours
+
+    lines = [
+        ('{"time": "2026-08-30T23:00:00+00:00", "waveHeight": {"sg": 1, "ecmwf:aifs": 2.5}, "note": "x"}',),
+        ('{"time": "2026-08-31T01:00:00+02:00", "airTemperature": {"new source": -3.25e0, "sg": null, "text": "1"}}',),
+        ('{"waveHeight": {"sg": 7}}',),
+        ('{"time": "no time", "waveHeight": {"sg": 8}}',),
+        ("no json",),
+        ("[]",),
+        ("3",),
+        (None,),
+        ("{}",),
+    ]
+    hours = spark.createDataFrame(lines, "line string")
+    got = [(r.time and r.time.strftime("%d %H"), r.parameter, r.source, r.value) for r in long_hours(hours, "line").collect()]
+    assert sorted(got, key=repr) == sorted(
+        [("30 23", "waveHeight", "sg", 1.0), ("30 23", "waveHeight", "ecmwf:aifs", 2.5), ("30 23", "airTemperature", "new source", -3.25),
+         (None, "waveHeight", "sg", 7.0), (None, "waveHeight", "sg", 8.0)],
+        key=repr,
+    )
+    documents = spark.createDataFrame([('{"hours": [' + ", ".join(x for x, in lines[:2]) + '], "meta": {"cost": 1}}',), ("{}",), ('{"hours": 3}',), (None,)], "d string")
+    found = long_hours(documents, "d", documents=True)
+    assert sorted((r.source, r.value) for r in found.collect()) == [("ecmwf:aifs", 2.5), ("new source", -3.25), ("sg", 1.0)]
+
+
+def test_events_of_unknown_type_are_kept(spark, tmp_path):
+    from datetime import datetime
+
+    from oracle import duck, mismatch
+
+    from vanescope import workload
+
+    at = datetime(2024, 1, 1, 5)
+    rows = [(1, at, 1, "click", 1.0, "{}"), (2, at, 1, None, 2.0, "{}"), (3, at, 1, "refund", 5.0, "{}"), (4, at, 1, "refund", None, "{}"), (5, at, 1, "empty", None, "{}")]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "tables/events.parquet"))
+    connection = duck("/nowhere")
+    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/tables/events.parquet/*.parquet'")
+    for name in ("json_hours", "json_long", "json_documents_long", "collapse_sources"):
+        assert mismatch(workload.QUERIES[name](spark, str(tmp_path / "tables")), connection, workload.SQL[name]) is None, name
+    assert workload.json_hours(spark, str(tmp_path / "tables")).first().peak_other_max == 5.0

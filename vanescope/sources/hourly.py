@@ -81,6 +81,30 @@ def parse_json(
     )
 
 
+def long_hours(lines: DataFrame, column: str, documents: bool = False, time: str = "time") -> DataFrame:
+    """``time``, ``parameter``, ``source`` and ``value``: one row per value, whatever parameters and sources there are.
+
+    ``column`` holds JSON: hours, or with ``documents`` documents whose ``hours`` is an array of them. Neither
+    a schema nor a scan to find one is needed, and hours may differ in what they have. Fields that are no
+    objects, values that are no numbers and strings that are no JSON give no rows.
+    """
+    spark = lines.sparkSession
+    hours = lines.select(F.try_parse_json(column).alias("__hour"))
+    if documents:
+        hours = hours.select(F.try_variant_get("__hour", "$.hours", "variant").alias("__all"))
+        hours = hours.lateralJoin(spark.tvf.variant_explode(F.col("__all").outer())).select(F.col("value").alias("__hour"))
+    hours = hours.select(F.try_variant_get("__hour", f"$.{time}", "timestamp").alias(time), "__hour")
+    parameters = hours.lateralJoin(spark.tvf.variant_explode(F.col("__hour").outer())).select(
+        time, F.col("key").alias("parameter"), F.col("value").alias("__sources")
+    )
+    values = parameters.filter(F.expr("schema_of_variant(__sources) LIKE 'OBJECT<%'")).lateralJoin(
+        spark.tvf.variant_explode(F.col("__sources").outer())
+    )
+    number = F.try_variant_get("value", "$", "double")
+    is_number = F.expr("schema_of_variant(value) RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'")
+    return values.filter(is_number).select(time, "parameter", F.col("key").alias("source"), number.alias("value"))
+
+
 def infer_schema(lines: DataFrame, column: str) -> T.StructType:
     """Schema of a column of JSON strings, merged over all rows by Spark.
 

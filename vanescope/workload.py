@@ -27,7 +27,9 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 COMPARED_DECIMALS = 7
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+# Types with columns of their own; all others, and events without type, share one more.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view", "other")
+KIND = "CASE WHEN event_type IN ('click', 'error', 'purchase', 'signup', 'view') THEN event_type ELSE 'other' END"
 
 BY_USER = SeriesSpec(
     keys=("user_id",),
@@ -882,20 +884,18 @@ HOUR_SCHEMA = hourly.hour_schema(SOURCES)
 BY_HOUR_SQL = (
     "SELECT date_trunc('hour', ts) AS time, "
     + ", ".join(
-        f"{rounded_sql(f'avg(value) FILTER (event_type = {t!r})')} AS mean_{t}_avg, "
-        f"max(value) FILTER (event_type = {t!r}) AS peak_{t}_max"
+        f"{rounded_sql(f'avg(value) FILTER (kind = {t!r})')} AS mean_{t}_avg, "
+        f"max(value) FILTER (kind = {t!r}) AS peak_{t}_max"
         for t in EVENT_TYPES
     )
-    + " FROM events GROUP BY date_trunc('hour', ts)"
+    + f" FROM (SELECT *, {KIND} AS kind FROM events) GROUP BY date_trunc('hour', ts)"
 )
 
 
 def hourly_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per hour, shaped like a forecast: a struct of sources per parameter."""
-    events = table(spark, sf_dir, "events")
-    per_type = {
-        t: F.when(F.col("event_type") == t, F.col("value")) for t in EVENT_TYPES
-    }
+    events = table(spark, sf_dir, "events").withColumn("kind", F.expr(KIND))
+    per_type = {t: F.when(F.col("kind") == t, F.col("value")) for t in EVENT_TYPES}
     per_hour = events.groupBy(hour_of(events, "ts").alias("hour")).agg(
         F.struct(*[F.avg(v).alias(f"{t}:avg") for t, v in per_type.items()]).alias("mean"),
         F.struct(*[F.max(v).alias(f"{t}:max") for t, v in per_type.items()]).alias("peak"),
@@ -906,6 +906,9 @@ def hourly_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flat_hours(rows: DataFrame) -> DataFrame:
     flat = context.flatten_hourly(rows, ["mean", "peak"])
+    # A schema found in the data lacks the sources that no hour has.
+    names = [name for t in EVENT_TYPES for name in (f"mean_{t}_avg", f"peak_{t}_max")]
+    flat = flat.withColumns({c: F.lit(None).cast("double") for c in names if c not in flat.columns})
     return without_zone(flat, "time").withColumns(
         rounded(*[f"mean_{t}_avg" for t in EVENT_TYPES])
     )
@@ -971,6 +974,48 @@ def hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumns(rounded(*[f"mean_{t}_avg" for t in EVENT_TYPES]))
 
 
+LONG_SQL = """
+    SELECT date_trunc('hour', ts) AS time, parameter, coalesce(event_type, 'none') AS source,
+           {} AS value
+    FROM events CROSS JOIN (VALUES ('mean'), ('peak')) AS p(parameter)
+    GROUP BY 1, 2, 3 HAVING count(value) > 0
+""".format(rounded_sql("CASE parameter WHEN 'mean' THEN avg(value) ELSE max(value) END"))
+
+
+def hours_of_any_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours as JSON, with a field for each type of event that the hour has."""
+    events = table(spark, sf_dir, "events")
+    kind = F.coalesce("event_type", F.lit("none")).alias("kind")
+    per_type = events.groupBy(hour_of(events, "ts").alias("hour"), kind).agg(
+        F.avg("value").alias("mean"), F.max("value").alias("peak")
+    )
+    objects = {p: F.map_from_entries(F.collect_list(F.struct("kind", p))).alias(p) for p in ("mean", "peak")}
+    time = F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("time")
+    return per_type.groupBy("hour").agg(*objects.values()).select("hour", F.struct(time, *objects).alias("of_hour"))
+
+
+def long_values(found: DataFrame) -> DataFrame:
+    return without_zone(found, "time").withColumns(rounded("value"))
+
+
+@register("json_long", LONG_SQL)
+def json_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of every source, from lines of hours, without a schema."""
+    path = scratch_path(spark, "hours")
+    hours_of_any_type(spark, sf_dir).select(F.to_json("of_hour").alias("line")).write.text(path)
+    return long_values(hourly.long_hours(spark.read.text(path), "value"))
+
+
+@register("json_documents_long", LONG_SQL)
+def json_documents_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from documents, one per day."""
+    per_day = hours_of_any_type(spark, sf_dir).groupBy(F.to_date("hour"))
+    documents = per_day.agg(F.to_json(F.struct(F.collect_list("of_hour").alias("hours"))).alias("line"))
+    path = scratch_path(spark, "documents")
+    documents.select("line").write.text(path)
+    return long_values(hourly.long_hours(spark.read.text(path), "value", documents=True))
+
+
 @register(
     "json_metadata",
     """
@@ -1006,10 +1051,10 @@ def json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     "collapse_sources",
     "SELECT date_trunc('hour', ts) AS time, coalesce("
     + ", ".join(
-        f"max(value) FILTER (event_type = '{t}')"
-        for t in ("signup", "click", "error", "purchase", "view")
+        f"max(value) FILTER (kind = '{t}')"
+        for t in ("signup", "click", "error", "other", "purchase", "view")
     )
-    + ") AS peak FROM events GROUP BY date_trunc('hour', ts)",
+    + f") AS peak FROM (SELECT *, {KIND} AS kind FROM events) GROUP BY date_trunc('hour', ts)",
 )
 def collapse_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_hour = hourly_context(spark, sf_dir)
