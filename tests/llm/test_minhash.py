@@ -117,3 +117,45 @@ def test_components(spark):
                 changed = True
     assert got == root
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def packed_texts(spark, texts):
+    from vanescope.llm.packed import packed
+
+    return packed(spark.createDataFrame(list(enumerate(texts)), "id long, text string"))
+
+
+def test_prefixes_lose_no_link(spark, monkeypatch):
+    pick = random.Random(8)
+    texts = []
+    for size, changes in ((12, 2), (40, 4), (120, 14), (200, 6)):
+        texts += family(pick, [f"w{pick.randrange(400)}" for _ in range(size)], changes, 40)
+    texts += ["", "one", "one", "a b c d", "a b c d e"]
+    sets = [shingles(t) for t in texts]
+    # Any order of the shingles will do, also one by few counters.
+    for percent, bits in ((80, 20), (85, 2), (95, 20)):
+        monkeypatch.setattr(minhash, "COUNTER_BITS", bits)
+        linked = {
+            (i, j) for j, y in enumerate(sets) for i, x in enumerate(sets[:j]) if x and y and 100 * len(x & y) >= percent * len(x | y)
+        }
+        no_roots = spark.createDataFrame([], "node long, root long")
+        found = {(r.a, r.b) for r in minhash.pairs_by_prefix(packed_texts(spark, texts), no_roots, percent).collect()}
+        assert linked <= found and len(linked) > 20
+        # Those of one component are not paired.
+        together = spark.createDataFrame([(i, 0) for i in range(len(texts))], "node long, root long")
+        assert minhash.pairs_by_prefix(packed_texts(spark, texts), together, percent).count() == 0
+
+
+def test_pages_of_one_template_make_no_pairs(spark, documents):
+    pick = random.Random(9)
+    template = [f"t{i}" for i in range(150)]
+    # Alike to about 0.59: they meet in buckets, and none is linked.
+    texts = [" ".join(template[:70] + [f"own{pick.randrange(10**9)}" for _ in range(50)] + template[70:]) for _ in range(600)]
+    no_roots = spark.createDataFrame([], "node long, root long")
+    assert minhash.pairs_by_prefix(packed_texts(spark, texts), no_roots, 85).count() == 0
+    assert minhash.pairs_by_prefix(packed_texts(spark, texts), no_roots, 80).count() == 0
+    # With copies of some of them that differ in a word.
+    copies = [t.replace("t3 ", "changed ", 1) for t in texts[:40]]
+    rows = list(enumerate(texts[:200] + copies))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(rows)).collect()}
+    assert got == {i: i if i < 200 else i - 200 for i, _ in rows}

@@ -10,10 +10,15 @@ is what the operator misses.
 * Each bucket proposes its members to one of them, the centre: that which shares most buckets with
   others, as the original of many copies does. A bucket of m members makes m - 1 pairs. They are
   confirmed on the full sets and joined into components.
-* Members that are not in their centre's component yet may still be linked with each other. They
-  are compared with the other members of the centre inside tasks, ``BLOCK`` by ``BLOCK`` at most,
-  by counting common shingles for a whole block at once; only links leave the task. Members in one
-  component are not compared, so groups of copies cost no pairs.
+* Members that are not in their centre's component, the outsiders, may still be linked with others. With the
+  members that are in it they are compared inside tasks, ``BLOCK`` by ``BLOCK`` at most, by counting
+  common shingles for a whole block at once; only links leave the task.
+* Outsiders are linked with each other by prefixes. Shingles are put in one order for all of them, rare ones
+  first, by a table of counts of fixed size. Of two linked sets the first few shingles, as many as the
+  limit and the sizes say, have one in common, at places that leave room for all others that must be. So
+  pages that share a template, but not enough of it, are told apart by what is their own, and never
+  paired. This loses nothing, whatever the order. What meets in a shingle is confirmed on the full sets.
+* Members in one component are not compared, so groups of copies cost no pairs.
 
 The set of a document: distinct shingles of ``SHINGLE`` words, each a 64-bit hash; a text with
 fewer words has its whole sequence as one; a text without words, or NULL, has an empty set and is
@@ -47,6 +52,8 @@ PER_BAND = 2
 MEMBERS_PER_CENTRE = 64
 #: Members on either side of a comparison inside a task.
 BLOCK = 256
+#: Bits of the number of counters by which shingles are ordered.
+COUNTER_BITS = 20
 
 _random = np.random.default_rng(20240103)
 _MASKS = _random.integers(0, 1 << 63, BANDS * PER_BAND, np.uint64)
@@ -186,29 +193,102 @@ def links_between(x: list[np.ndarray], y: list[np.ndarray], percent: int = LINK_
     return np.nonzero(100 * common.astype(np.int64) >= percent * together.astype(np.int64))
 
 
+def prefix_lengths(n: np.ndarray | int, percent: int) -> tuple:
+    """How many of its first shingles a set of ``n`` shows to sets that are not smaller, and to ones not larger.
+
+    Two linked sets have ``percent`` of the larger one's shingles in common, and of the smaller one's
+    at least as many as two sets of its size would.
+    """
+    return n + (-2 * percent * n) // (100 + percent) + 1, n + (-percent * n) // 100 + 1
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """In how many texts a shingle occurs, added up over the shingles of each counter."""
+    bits = COUNTER_BITS
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for _, text in unpacked(batch):
+                counts += np.bincount(_counter(_set_of(text), bits), minlength=1 << bits)
+        used = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["counter", "n"])
+
+    # As many lines as counters, at most.
+    total = texts.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << bits, np.int64)
+    out[total.column(0).to_numpy()] = total.column(1).to_numpy()
+    return out
+
+
+def _counter(shingles: np.ndarray, bits: int) -> np.ndarray:
+    return (shingles >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def first_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """(id, n, place, shingle, shown): the first shingles of each set, rare ones first; ``shown`` are those
+    that sets which are not smaller look for."""
+    bits = COUNTER_BITS
+    counts = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+            for row, text in unpacked(batch):
+                own = _set_of(text)
+                shown, looked_for = prefix_lengths(len(own), percent)
+                order = np.lexsort((own, counts.value[_counter(own, bits)]))[:looked_for]
+                place = np.arange(len(order))
+                one = np.full(len(order), batch.column(0)[row].as_py(), np.int64)
+                for column, value in zip(columns, (one, np.full(len(order), len(own)), place, own[order].view(np.int64), place < shown)):
+                    column.append(value)
+            flat = [np.concatenate(c) for c in columns]
+            yield pa.record_batch([*(pa.array(c) for c in flat[:4]), pa.array(flat[4].astype(bool))], names=["id", "n", "place", "shingle", "shown"])
+
+    return texts.mapInArrow(run, "id long, n long, place long, shingle long, shown boolean")
+
+
+def pairs_by_prefix(texts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among ``texts`` (id, size, packed), all that are linked among them."""
+    first = stored(first_shingles(texts, percent).join(roots.withColumnRenamed("node", "id"), "id", "left"), "first-shingles")
+    first = first.withColumn("root", F.coalesce("root", "id"))
+    shown = first.where("shown").select("shingle", *[F.col(c).alias(f"_{c}") for c in ("id", "n", "place", "root")])
+    # The larger one looks for the smaller one; what is left of both behind the common shingle must suffice.
+    met = first.join(shown, "shingle").where(
+        f"root <> _root AND (n > _n OR n = _n AND id > _id) AND 100 * _n >= {percent} * n"
+        f" AND {100 + percent} * least(n - place, _n - _place) >= {percent} * (n + _n)"
+    )
+    return met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+
+
 def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
-    """Links (a, b) between members ``b`` of one centre ``a`` that are in different components."""
+    """Links (a, b) of members that are not in their centre's component, with members of other components."""
     named = roots.withColumnRenamed("node", "b")
     placed = stars.join(named, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
     centres = roots.withColumnRenamed("node", "a").withColumnRenamed("root", "own")
     placed = placed.join(centres, "a", "left").withColumn("outside", F.col("root") != F.coalesce("own", "a")).drop("own")
     placed = stored(placed, "placed")
+    outsiders = texts.join(placed.where("outside").select(F.col("b").alias("id")).distinct(), "id", "left_semi")
+    among = confirm(stored(pairs_by_prefix(outsiders, roots, percent), "pairs"), texts, percent)
+    return among.union(_links_inside(placed, texts, percent)).distinct()
+
+
+def _links_inside(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between outsiders of a star and members that are in the component of its centre."""
     counts = placed.groupBy("a").agg(
-        F.ceil(F.count("*") / BLOCK).alias("columns"), F.ceil(F.count_if("outside") / BLOCK).alias("lines"), F.count_distinct("root").alias("roots")
-    )
-    open_ = placed.join(counts.where("roots > 1 AND lines > 0"), "a")
-    member = open_.selectExpr("a", "b", "root", "outside", "lines * columns = 1 AS whole", "lines", "pmod(xxhash64(b), columns) AS j")
-    member = member.withColumn("i", F.explode(F.expr("sequence(0L, lines - 1)"))).select("a", "i", "j", F.lit(1).alias("side"), "b", "root", "outside", "whole")
-    asking = open_.where("outside AND lines * columns > 1").selectExpr("a", "b", "root", "outside", "columns", "pmod(xxhash64(b, 7), lines) AS i")
-    asking = asking.withColumn("j", F.explode(F.expr("sequence(0L, columns - 1)"))).select(
-        "a", "i", "j", F.lit(0).alias("side"), "b", "root", "outside", F.lit(False).alias("whole")
+        F.ceil(F.count_if(~F.col("outside")) / BLOCK).alias("columns"), F.ceil(F.count_if("outside") / BLOCK).alias("lines")
     )
+    open_ = placed.join(counts.where("columns > 0 AND lines > 0"), "a")
+    # Every block of outsiders meets every block of the others.
+    member = open_.where("NOT outside").selectExpr("a", "b", "root", "lines", "pmod(xxhash64(b), columns) AS j")
+    member = member.withColumn("i", F.explode(F.expr("sequence(0L, lines - 1)"))).select("a", "i", "j", F.lit(1).alias("side"), "b", "root")
+    asking = open_.where("outside").selectExpr("a", "b", "root", "columns", "pmod(xxhash64(b, 7), lines) AS i")
+    asking = asking.withColumn("j", F.explode(F.expr("sequence(0L, columns - 1)"))).select("a", "i", "j", F.lit(0).alias("side"), "b", "root")
     dealt = member.union(asking).join(texts, F.col("b") == F.col("id")).drop("id")
     dealt = dealt.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j", "side")
 
     def compare(group: list[tuple], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        # A single block holds each member once; else the members that ask come on their own.
-        asking = [k for k, row in enumerate(group) if (row[6] if row[7] else row[3] == 0)]
+        asking = [k for k, row in enumerate(group) if row[3] == 0]
         members = [k for k, row in enumerate(group) if row[3] == 1]
         if asking and members:
             for i, j in zip(*links_between([sets[k] for k in asking], [sets[k] for k in members], percent)):
@@ -221,7 +301,7 @@ def settle(stars: DataFrame, roots: DataFrame, texts: DataFrame, percent: int =
         sets: list[np.ndarray] = []
         found: list[tuple[int, int]] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(8))))
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(6))))
             for i, text in unpacked(batch):
                 if group and group[0][:3] != rows[i][:3]:
                     found.extend(compare(group, sets))
