@@ -160,3 +160,31 @@ def test_postgres_options():
         "password": "",
         "driver": "org.postgresql.Driver",
     }
+
+
+def rows_scanned(df):
+    """Rows that the scan of files gives, before any filter."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_lookup_passes_over_row_groups_without_the_value(spark, tmp_path):
+    from vanescope.operators.reports import for_sensor
+
+    # Many sensors, in no order, so that every row group spans nearly all of them.
+    rows = spark.range(200_000).selectExpr("id", "xxhash64(id) % 1000000 * 2 AS sensor", "uuid() AS note").repartition(4)
+    spark.conf.set("parquet.block.size", str(256 << 10))
+    try:
+        for name, lookup in (("plain", None), ("filtered", {"sensor": 50_000})):
+            write_parquet(rows, str(tmp_path / name), sort_by=["id"], lookup_by=lookup)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    known = rows.orderBy("id").first().sensor
+    plain, filtered = (spark.read.parquet(str(tmp_path / name)) for name in ("plain", "filtered"))
+    assert for_sensor(filtered, "sensor", known).count() == for_sensor(plain, "sensor", known).count() >= 1
+    found = for_sensor(filtered, "sensor", known)
+    assert rows_scanned(found) < 0.2 * rows_scanned(for_sensor(plain, "sensor", known))
+    assert {r.sensor for r in found.collect()} == {known}
+    # An odd number is no sensor.
+    assert rows_scanned(for_sensor(filtered, "sensor", 33)) < 0.1 * rows.count()

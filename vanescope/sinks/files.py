@@ -21,6 +21,7 @@ def write_parquet(
     date_of: str | None = None,
     sort_by: Sequence[str] = (),
     counts: Mapping[str, str] | None = None,
+    lookup_by: Mapping[str, int] | None = None,
 ) -> dict[str, Any]:
     """Write a Parquet table.
 
@@ -29,13 +30,18 @@ def write_parquet(
     ``sort_by`` orders the rows within each file, which gives tight value ranges
     to skip by, without a global sort. ``counts`` are SQL aggregates over the rows, taken while they are written
     and returned under their names. They are taken in the tasks that write, after any shuffle: Spark
-    takes over one result of each, however often it ran.
+    takes over one result of each, however often it ran. ``lookup_by`` names columns of which single values will be looked
+    up, with the distinct values that a file may have: each row group gets a Bloom filter of them, by which
+    a scan for one value passes over the groups without it, whatever the order of the rows.
     """
     df = _arranged(df, date_of, sort_by)
     seen = Observation()
     if counts:
         df = df.observe(seen, *[F.expr(c).alias(name) for name, c in counts.items()])
     writer = df.write.mode(mode)
+    for column, distinct in (lookup_by or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", distinct)
     (writer.partitionBy(READING_DATE) if date_of else writer).parquet(path)
     # A table that is known to be empty before it is written has no tasks and no counts.
     return {name: 0 for name in counts} | seen.get if counts else {}

@@ -1118,6 +1118,16 @@ def for_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.for_sensor(table(spark, sf_dir, "lineitem"), "l_suppkey", 7)
 
 
+@register("for_sensor_by_filter", "SELECT * FROM lineitem WHERE l_partkey = 7")
+def for_sensor_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a table in another order, by the filters that were written with it."""
+    path = scratch_path(spark, "lookup")
+    write_parquet(
+        table(spark, sf_dir, "lineitem"), path, sort_by=["l_shipdate"], lookup_by={"l_partkey": 100_000}
+    )
+    return reports.for_sensor(spark.read.parquet(path), "l_partkey", 7)
+
+
 @register(
     "anomalies_per_type",
     "SELECT event_type, count(*) AS anomaly_count FROM ("
