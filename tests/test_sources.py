@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vanescope.operators.reports import ingest_report
 from vanescope.sinks.files import land_raw_files, landed_files, write_parquet
 from vanescope.sources.database import postgres_options
-from vanescope.sources.readings import list_csv_files, read_readings, stamp
+from vanescope.sources.readings import list_csv_files, read_readings, read_readings_by_name, stamp
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
 LINES = [
@@ -188,3 +188,53 @@ def test_a_lookup_passes_over_row_groups_without_the_value(spark, tmp_path):
     assert {r.sensor for r in found.collect()} == {known}
     # An odd number is no sensor.
     assert rows_scanned(for_sensor(filtered, "sensor", 33)) < 0.1 * rows.count()
+
+
+def readable(rows):
+    return sorted(repr([v for k, v in r.asDict().items() if k != "source_file"] + [r.source_file.rpartition("/")[2]]) for r in rows.collect())
+
+
+def test_files_of_one_header_read_the_same_by_name(spark, csv_dir):
+    by_position, by_name = read_readings(spark, str(csv_dir)), read_readings_by_name(spark, str(csv_dir))
+    assert by_name.columns == by_position.columns
+    assert readable(by_name) == readable(by_position)
+
+
+def test_columns_bind_by_the_names_of_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Power_Output,turbine_id, timestamp ,wind_speed,wind_direction\n1.5,7,2022-03-01 00:00:00,9.0,10\n")
+    (tmp_path / "b.csv").write_text('\nturbine_id,note,timestamp\n8,"x, y",2022-03-01 01:00:00\n8,z\n')
+    (tmp_path / "c.csv").write_text(HEADER + HEADER + "2022-03-01 02:00:00,9,1,2,bad\n")
+    rows = read_readings_by_name(spark, str(tmp_path)).collect()
+    got = [(r.source_file.rpartition("/")[2], r.timestamp and r.timestamp.hour, r.turbine_id, r.wind_speed, r.power_output, r._corrupt_record) for r in rows]
+    assert sorted(got, key=repr) == sorted(
+        [
+            ("a.csv", 0, 7, 9.0, 1.5, None),
+            ("b.csv", 1, 8, None, None, None),
+            ("b.csv", None, 8, None, None, "8,z"),
+            # A second line like the header is a line like any other.
+            ("c.csv", None, None, None, None, HEADER.strip()),
+            ("c.csv", 2, 9, 1.0, None, "2022-03-01 02:00:00,9,1,2,bad"),
+        ],
+        key=repr,
+    )
+    (tmp_path / "d.csv").write_text("turbine_id,Turbine_Id\n1,2\n")
+    with pytest.raises(ValueError, match="repeats"):
+        read_readings_by_name(spark, str(tmp_path))
+
+
+def test_headers_of_files_in_many_splits(spark, tmp_path):
+    names = ["timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output"]
+    for turbine, order in ((1, names), (2, names[::-1])):
+        lines = [",".join(order)]
+        for n in range(400):
+            row = dict(zip(names, ["2022-03-01 00:00:00", str(turbine), str(n), "1", "2"]))
+            lines.append(",".join(row[c] for c in order))
+        (tmp_path / f"{turbine}.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = read_readings_by_name(spark, str(tmp_path))
+        assert sorted((r.turbine_id, r.wind_speed, r.power_output, r._corrupt_record) for r in rows.collect()) == [
+            (t, float(n), 2.0, None) for t in (1, 2) for n in range(400)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

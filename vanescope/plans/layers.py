@@ -25,6 +25,7 @@ from vanescope.sources.readings import (
     READING_FIELDS,
     list_csv_files,
     read_readings,
+    read_readings_by_name,
     stamp,
 )
 from vanescope.spec import TURBINE, SeriesSpec
@@ -81,6 +82,7 @@ class RunConfig:
     """One run from a CSV directory to the Gold tables.
 
     archived  the directory holds zip archives of CSV files
+    by_name   columns bind by the names in each file's header, not by position
     by_date   partition Silver and Gold by date. It costs a shuffle per table and a file per day, and
               pays where a day fills files of its own, from about 100 MB on
     """
@@ -96,6 +98,7 @@ class RunConfig:
     mode: str = "overwrite"
     check_header: bool = False
     archived: bool = False
+    by_name: bool = False
     keep_raw_files: bool = True
     database: Mapping[str, str] | None = None
     connections: int = 8
@@ -115,6 +118,8 @@ def bronze(spark: SparkSession, config: RunConfig, counts: Counts | None = None)
     layers = Layers(config.base)
     if config.archived:
         rows = read_archived_readings(spark, config.source, config.schema)
+    elif config.by_name:
+        rows = read_readings_by_name(spark, config.source, config.schema)
     else:
         rows = read_readings(spark, config.source, config.schema, check_header=config.check_header)
     rows = stamp(rows, config.run_time)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vanescope.sources.readings import CORRUPT, READING_FIELDS, SOURCE_FILE, TIMESTAMP_FORMAT
+from vanescope.sources.readings import READING_FIELDS, SOURCE_FILE, TIMESTAMP_FORMAT, parse_line
 
 #: Lines that a task holds at a time.
 LINES_AT_ONCE = 20_000
@@ -89,14 +89,7 @@ def read_archived_readings(
     Store the rows before using them twice: each use unpacks the archives.
     """
     lines = archived_lines(spark, directory).filter("line_number > 0 AND trim(line) <> ''")
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "timestampFormat": timestamp_format,
-        "timestampNTZFormat": timestamp_format,
-    }
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    parsed = F.from_csv("line", f"{fields}, `{CORRUPT}` string", options)
+    parsed = parse_line(F.col("line"), [(f.name, f.dataType.simpleString()) for f in schema], timestamp_format)
     return lines.select(parsed.alias("__row"), SOURCE_FILE).select("__row.*", SOURCE_FILE)
 
 
