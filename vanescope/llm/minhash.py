@@ -53,7 +53,9 @@ MEMBERS_PER_CENTRE = 64
 #: Members on either side of a comparison inside a task.
 BLOCK = 256
 #: Bits of the number of counters by which shingles are ordered.
-COUNTER_BITS = 20
+COUNTER_BITS = 18
+#: Shingles that are counted at a time.
+COUNTED_AT_ONCE = 1 << 20
 
 _random = np.random.default_rng(20240103)
 _MASKS = _random.integers(0, 1 << 63, BANDS * PER_BAND, np.uint64)
@@ -208,9 +210,15 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.int64)
+        waiting, size = [np.zeros(0, np.int64)], 0
         for batch in batches:
             for _, text in unpacked(batch):
-                counts += np.bincount(_counter(_set_of(text), bits), minlength=1 << bits)
+                waiting.append(_counter(_set_of(text), bits))
+                size += len(waiting[-1])
+                if size >= COUNTED_AT_ONCE:
+                    counts += np.bincount(np.concatenate(waiting), minlength=1 << bits)
+                    waiting, size = waiting[:1], 0
+        counts += np.bincount(np.concatenate(waiting), minlength=1 << bits)
         used = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["counter", "n"])
 
