@@ -55,7 +55,9 @@ BLOCK = 256
 #: Bits of the number of counters by which shingles are ordered.
 COUNTER_BITS = 18
 #: Shingles that are counted at a time.
-COUNTED_AT_ONCE = 1 << 20
+COUNTED_AT_ONCE = 1 << 18
+#: First shingles that a task hands on at a time.
+ROWS_AT_ONCE = 1 << 16
 
 _random = np.random.default_rng(20240103)
 _MASKS = _random.integers(0, 1 << 63, BANDS * PER_BAND, np.uint64)
@@ -239,19 +241,26 @@ def first_shingles(texts: DataFrame, percent: int) -> DataFrame:
     bits = COUNTER_BITS
     counts = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts))
 
+    def rows_of(parts: list[tuple]) -> pa.RecordBatch:
+        one, n, place, shingle, shown = (np.concatenate(column) for column in zip(*parts))
+        return pa.record_batch([*(pa.array(c) for c in (one, n, place, shingle, shown))], names=["id", "n", "place", "shingle", "shown"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+            parts, size = [], 0
             for row, text in unpacked(batch):
                 own = _set_of(text)
                 shown, looked_for = prefix_lengths(len(own), percent)
                 order = np.lexsort((own, counts.value[_counter(own, bits)]))[:looked_for]
                 place = np.arange(len(order))
                 one = np.full(len(order), batch.column(0)[row].as_py(), np.int64)
-                for column, value in zip(columns, (one, np.full(len(order), len(own)), place, own[order].view(np.int64), place < shown)):
-                    column.append(value)
-            flat = [np.concatenate(c) for c in columns]
-            yield pa.record_batch([*(pa.array(c) for c in flat[:4]), pa.array(flat[4].astype(bool))], names=["id", "n", "place", "shingle", "shown"])
+                parts.append((one, np.full(len(order), len(own)), place, own[order].view(np.int64), place < shown))
+                size += len(order)
+                if size >= ROWS_AT_ONCE:
+                    yield rows_of(parts)
+                    parts, size = [], 0
+            if parts:
+                yield rows_of(parts)
 
     return texts.mapInArrow(run, "id long, n long, place long, shingle long, shown boolean")
 
