@@ -5,11 +5,14 @@ Its value is its log-count ratio between toxic and other documents, smoothed; lo
 over these values gives the score.
 
 Training uses a bounded sample of ``SAMPLE_ROWS`` labelled rows at most, by a hash of the id, and the
-whole text of each. It runs in Spark: n-grams are first counted in a fixed number of buckets to find
-those that can matter, then exactly for these; n-grams whose rate differs between the classes by
-``LEAST_Z`` standard errors become features, ``FEATURES`` of them at most. Regression averages what
-tasks learn from their part of the sample, over ``ROUNDS`` rounds. The driver sees bucket counts,
-features and weights only, whose number is fixed. Scoring covers every document.
+whole text of each. Up to half of them are of either class, so a rare class is not thinned out; the
+intercept is put back by the shares taken. It runs in Spark: documents of either class are first
+counted in a fixed number of buckets, then n-grams exactly in those buckets that hold enough documents
+of one class for an n-gram that differs. No n-gram in another bucket can, so none is lost. N-grams
+whose rate differs between the classes by ``LEAST_Z`` standard errors become features, the ``FEATURES``
+farthest apart, by hash if they tie. Regression averages what tasks learn from their part of the
+sample, in the order of ids, over ``ROUNDS`` rounds. The driver sees a bit per bucket, features and
+weights only, whose number is fixed. Scoring covers every document.
 
 Defined results: NULL and empty texts hold no n-gram; their score follows from the intercept. Labels
 that are NULL are left out; a label given twice counts twice. With no label, or labels of one class
@@ -33,7 +36,7 @@ from vanescope.llm.text import _BYTE_VALUES, LOWER, _powers, chunks, mix
 
 SAMPLE_ROWS = 20_000
 SIZES = (3, 4, 5, 6, 8)
-BUCKET_BITS = 20
+BUCKET_BITS = 24
 FEATURES = 20_000
 LEAST_Z = 4.0
 LEAST_DOCUMENTS = 4
@@ -41,6 +44,8 @@ LEAST_DOCUMENTS = 4
 TASKS = 6
 ROUNDS = 6
 PENALTY = 1e-4
+#: N-grams that a task holds before it hands on their counts.
+HELD_GRAMS = 1 << 21
 
 _SLICES = 256
 _FILTER_BITS = 22
@@ -59,8 +64,8 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield mix((total[at + size] - total[at]) * down[at] + np.uint64(size)), at
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _z(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
@@ -103,72 +108,109 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
-def sample_of(df: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, most: int) -> tuple[DataFrame, int, int]:
-    """A stored table (toxic, text) of labelled rows, ``most`` of them on average at most, and the
-    numbers of toxic and other labels in the sample."""
+def sample_of(df: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, most: int) -> tuple[DataFrame, int, int, float]:
+    """A stored table (toxic, text) of labelled rows, ``most`` of them on average at most, the
+    numbers of toxic and other labels in the sample, and what the sample adds to the log-odds."""
     known = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("toxic")).where("toxic IN (0, 1) AND id IS NOT NULL")
-    n = known.count()
-    share = min(1.0, most / max(n, 1))
-    chosen = known.where((F.xxhash64("id", F.lit(23)).bitwiseAND(F.lit((1 << 31) - 1)) / (1 << 31)) < share)
+    of = {row[0]: row[1] for row in known.groupBy("toxic").count().collect()}
+    n = [of.get(c, 0) for c in (0, 1)]
+    # Half for either class; what one leaves goes to the other.
+    share = [min(1.0, max(most / 2, most - n[1 - c]) / max(n[c], 1)) for c in (0, 1)]
+    chance = F.xxhash64("id", F.lit(23)).bitwiseAND(F.lit((1 << 31) - 1)) / (1 << 31)
+    chosen = known.where(chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     rows = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
     # Of a bounded number of rows of two numbers each.
     rows = rows.join(F.broadcast(chosen), "id").repartition(TASKS, F.xxhash64("id"))
+    # What is learned depends on the order of rows, so it is not left to that of the shuffle.
+    rows = rows.sortWithinPartitions("id", "toxic", "text")
     rows = stored(rows.select("toxic", F.coalesce("text", F.lit("")).alias("text")), "labelled")
     by = {row[0]: row[1] for row in rows.groupBy("toxic").count().collect()}
-    return rows, by.get(1, 0), by.get(0, 0)
+    return rows, by.get(1, 0), by.get(0, 0), float(np.log(share[1]) - np.log(share[0]))
 
 
-def _buckets(rows: DataFrame, n_toxic: int, n_other: int) -> np.ndarray:
-    """Buckets whose n-grams differ enough between the classes."""
-    width = (1 << BUCKET_BITS) // _SLICES
+def _least(n_own: int, n_other: int) -> int:
+    """The fewest documents of one class that make an n-gram differ, where the other has none."""
+    n = np.arange(1, n_own + 1)
+    far = np.flatnonzero(_z(n, np.zeros_like(n), n_own, n_other) >= LEAST_Z)
+    return int(n[far[0]]) if len(far) else n_own + 1
+
+
+def _buckets(rows: DataFrame, n_toxic: int, n_other: int, bits: int = BUCKET_BITS) -> np.ndarray:
+    """Whether a bucket may hold an n-gram that differs enough between the classes.
+
+    An n-gram in t toxic and o other documents differs most where the other class has none, and its
+    bucket counts t and o at least. So it is enough to ask whether either count alone could do."""
+    width = (1 << bits) // _SLICES
+    # In the order of the two counts.
+    least = _least(n_toxic, n_other), _least(n_other, n_toxic)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BUCKET_BITS), np.int32)
+        counts = np.zeros((2, 1 << bits), np.int32)
         for batch in batches:
             toxic = batch.column(0).to_numpy()
             for first, _, data, bounds in chunks(batch.column(1)):
                 for hashes, at in grams(data, bounds):
                     document = np.searchsorted(bounds, at, "right") - 1
-                    pairs = np.unique(document << BUCKET_BITS | _bucket(hashes))
-                    kind = toxic[first + (pairs >> BUCKET_BITS)]
-                    for label in (0, 1):
-                        counts[label] += np.bincount(pairs[kind == label] & (1 << BUCKET_BITS) - 1, minlength=1 << BUCKET_BITS).astype(np.int32)
+                    pairs = np.unique(document << bits | _bucket(hashes, bits))
+                    own = toxic[first + (pairs >> bits)] == 1
+                    bucket = pairs & (1 << bits) - 1
+                    np.add.at(counts[0], bucket[own], 1)
+                    np.add.at(counts[1], bucket[~own], 1)
+        codec = pa.Codec("zstd")
         parts = counts.reshape(2, _SLICES, width)
         for i in range(_SLICES):
-            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([parts[1, i].tobytes()]), pa.array([parts[0, i].tobytes()])], names=["slice", "toxic", "other"])
+            yield pa.record_batch([pa.array([i], pa.int32()), *(pa.array([codec.compress(parts[c, i].tobytes(), asbytes=True)]) for c in (0, 1))], names=["slice", "toxic", "other"])
 
     def pick(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        toxic, other = (sum(np.frombuffer(b, np.int32).astype(np.int64) for b in group[c]) for c in ("toxic", "other"))
-        # A bucket also holds n-grams that are alike in both classes, so the bar is lower here.
-        far = np.abs(_z(toxic, other, n_toxic, n_other)) >= LEAST_Z / 2
-        return pd.DataFrame({"bucket": np.flatnonzero(far) + key[0] * width})
+        codec = pa.Codec("zstd")
+        counts = [sum(np.frombuffer(codec.decompress(b, 4 * width, asbytes=True), np.int32).astype(np.int64) for b in group[c]) for c in ("toxic", "other")]
+        return pd.DataFrame({"slice": [key[0]], "bits": [np.packbits((counts[0] >= least[0]) | (counts[1] >= least[1])).tobytes()]})
 
     counted = rows.mapInArrow(count, "slice int, toxic binary, other binary")
-    return counted.groupBy("slice").applyInPandas(pick, "bucket long").toArrow().column(0).to_numpy()
+    found = counted.groupBy("slice").applyInPandas(pick, "slice int, bits binary").toArrow()
+    by = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist()))
+    return np.frombuffer(b"".join(by[i] for i in range(_SLICES)), np.uint8)
+
+
+def _summed(held: list[np.ndarray]) -> np.ndarray:
+    """Rows of (gram, toxic, other), each gram once."""
+    grams, toxic, other = np.concatenate(held, axis=1)
+    grams, inverse = np.unique(grams, return_inverse=True)
+    return np.stack([grams, *(np.bincount(inverse, c, len(grams)).astype(np.int64) for c in (toxic, other))])
 
 
 def _features(rows: DataFrame, buckets: np.ndarray, n_toxic: int, n_other: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the features in ascending order and their log-count ratios."""
-    wanted = np.zeros(1 << BUCKET_BITS, bool)
-    wanted[buckets] = True
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)
+    shared = rows.sparkSession.sparkContext.broadcast(buckets)
+    bits = (8 * len(buckets)).bit_length() - 1
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(shared.value).view(bool)
+        held = [np.zeros((3, 0), np.int64)]
+
+        def given() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c) for c in held[0]], names=["gram", "toxic", "other"])
+
         for batch in batches:
             labels = batch.column(0).to_numpy()
-            for first, _, data, bounds in chunks(batch.column(1), 1 << 21):
+            for first, _, data, bounds in chunks(batch.column(1)):
                 for hashes, at in grams(data, bounds):
-                    some = shared.value[_bucket(hashes)]
+                    some = wanted[_bucket(hashes, bits)]
                     document = np.searchsorted(bounds, at[some], "right") - 1
-                    h = hashes[some]
+                    h = hashes[some].view(np.int64)
                     order = np.lexsort((document, h))
                     h, document = h[order], document[order]
                     new = np.ones(len(h), bool)
                     new[1:] = (h[1:] != h[:-1]) | (document[1:] != document[:-1])
-                    values, inverse = np.unique(h[new], return_inverse=True)
                     label = labels[first + document[new]]
-                    counts = [np.bincount(inverse, label == c, len(values)).astype(np.int64) for c in (1, 0)]
-                    yield pa.record_batch([pa.array(values.view(np.int64)), *map(pa.array, counts)], names=["gram", "toxic", "other"])
+                    held.append(np.stack([h[new], label == 1, label == 0]).astype(np.int64))
+                if sum(part.shape[1] for part in held[1:]) > HELD_GRAMS:
+                    held = [_summed(held)]
+                    if held[0].shape[1] > HELD_GRAMS:
+                        yield given()
+                        held = [np.zeros((3, 0), np.int64)]
+        held = [_summed(held)]
+        yield given()
 
     p, q = F.col("toxic") / n_toxic, F.col("other") / n_other
     both = (F.col("toxic") + F.col("other")) / (n_toxic + n_other)
@@ -206,9 +248,9 @@ def train(
     df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS
 ) -> Model:
     """Features and weights from labelled rows."""
-    rows, n_toxic, n_other = sample_of(df, labels, label_col, id_col, text_col, sample_rows)
+    rows, n_toxic, n_other, added = sample_of(df, labels, label_col, id_col, text_col, sample_rows)
     start = float(np.log((n_toxic + 1) / (n_other + 1)))
-    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), start)
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), start - added)
     if not n_toxic or not n_other:
         return nothing
     features, ratio = _features(rows, _buckets(rows, n_toxic, n_other), n_toxic, n_other)
@@ -237,7 +279,7 @@ def train(
         n = np.array([part["n"] for part in parts], float)
         w = (n[:, None] * np.array([np.frombuffer(part["w"]) for part in parts])).sum(axis=0) / n.sum()
         b = float((n * [part["b"] for part in parts]).sum() / n.sum())
-    return Model(features, w * ratio, b)
+    return Model(features, w * ratio, b - added)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
