@@ -84,6 +84,25 @@ def test_recall_and_exactness(spark, documents, case):
     assert all(v == want[k] for k, v in got.items())
 
 
+def test_short_items_are_found_where_their_words_stand(spark, documents):
+    pick = random.Random(13)
+    texts = [[f"v{pick.randrange(40)}" for _ in range(pick.randrange(60))] for _ in range(80)]
+    items = [(100 * n + k, [f"v{pick.randrange(40)}" for _ in range(n)]) for n in (1, 2, 3, 5, 7) for k in range(6)]
+    for item, words in items[::2]:
+        at = pick.randrange(80)
+        texts[at] = [*texts[at], *words, "end"]
+    table = [(i, " ".join(words).upper()) for i, words in items]
+    table += [table[0], (None, "v1"), (9, None), (9, " - ")]
+    leaks = decontam.find_leaks(documents([(i, ", ".join(words)) for i, words in enumerate(texts)]), spark.createDataFrame(table, "item_id long, text string"))
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.n_words, r.distance) for r in leaks.collect())
+    want = []
+    for i, words in enumerate(texts):
+        for item, own in items:
+            places = [j for j in range(len(words) - len(own) + 1) if words[j : j + len(own)] == own]
+            want += [(i, item, places[0], len(own), 0)] if places else []
+    assert got == sorted(want) and {r[1] // 100 for r in got} == {1, 2, 3, 5, 7}
+
+
 def test_slices_give_the_same(spark, documents, case, monkeypatch):
     rows, items = case
     table = spark.createDataFrame(items, "item_id long, text string")

@@ -22,8 +22,9 @@ digits, A-Z lower-cased, so punctuation and line breaks do not matter.
 Items are sent to the executors in slices of bounded size; documents are never shuffled.
 
 Defined results: one row per document and item, with the best run, the first one if several are
-as good, and the shortest of those. NULL or empty texts have no windows. Items with fewer than ``MIN_WORDS`` words, or without
-id or text, say too little to tell a leak and are not searched. Items may repeat.
+as good, and the shortest of those. NULL or empty texts have no windows. Items with fewer than ``MIN_WORDS``
+words have too few triples to bear an edit; they are found where all their words stand in a row, with distance 0. Items
+without id, text or a word cannot be searched. Items may repeat.
 Rows without id are searched too and keep their NULL.
 """
 
@@ -143,6 +144,14 @@ class Index:
     def __init__(self, ids: list[int], texts: list[str]):
         words = Words(*_joined(texts), ALNUM_WORD, lower=True)
         long = [i for i in range(len(ids)) if words.counts[i] >= MIN_WORDS]
+        #: For each number of words below ``MIN_WORDS``: hashes of the items in ascending order, and their ids.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, MIN_WORDS):
+            own = np.flatnonzero(words.counts == n)
+            if len(own):
+                hashes = words.grams(n)[0][words.bounds[:-1][own]]
+                order = np.argsort(hashes, kind="stable")
+                self.short[n] = hashes[order], np.array(ids, np.int64)[own[order]]
         self.ids = np.array([ids[i] for i in long], np.int64)
         self.words = words.hashes
         self.start = words.bounds[:-1][long]
@@ -264,8 +273,31 @@ class Index:
         item, start = np.divmod(np.concatenate(pairs), max(len(ends), 1))
         return tuple(np.concatenate(x) for x in zip((item, start, start), whole))
 
+    def found(self, words: Words) -> tuple[np.ndarray, ...]:
+        """(document, item id, first word, words, distance) of all items in a chunk."""
+        document, item, *run = self.leaks(words)
+        return tuple(np.concatenate(x) for x in zip((document, self.ids[item], *run), self.short_leaks(words)))
+
+    def short_leaks(self, words: Words) -> tuple[np.ndarray, ...]:
+        """The same of items with few words: the first place of each in each document."""
+        found = [np.zeros((5, 0), np.int64)]
+        for n, (hashes, ids) in self.short.items():
+            own, whole = words.grams(n)
+            at = np.flatnonzero(whole)
+            low = np.searchsorted(hashes, own[at], "left")
+            count = np.searchsorted(hashes, own[at], "right") - low
+            item, at = ids[_spread(low, count)], np.repeat(at, count)
+            document = np.searchsorted(words.bounds, at, "right") - 1
+            order = np.lexsort((at, item, document))
+            document, item, at = document[order], item[order], at[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (document[1:] != document[:-1]) | (item[1:] != item[:-1])
+            document, item, at = document[new], item[new], at[new]
+            found.append(np.stack([document, item, at - words.bounds[document], np.full(len(at), n), np.zeros(len(at), np.int64)]))
+        return tuple(np.concatenate(found, axis=1))
+
     def leaks(self, words: Words) -> tuple[np.ndarray, ...]:
-        """(document, item, first word, words, distance) of the leaks in a chunk, best run of each."""
+        """(document, item, first word, words, distance) of the leaks of longer items in a chunk, best run of each."""
         item, low, high = self.candidates(words)
         if not len(item):
             return tuple(np.zeros((5, 0), np.int64))
@@ -334,11 +366,11 @@ def find_leaks(
             for batch in batches:
                 for first, _, data, bounds in chunks(batch.column(1)):
                     words = Words(data, bounds, ALNUM_WORD, lower=True)
-                    document, item, at, size, distance = index.value.leaks(words)
+                    document, item, at, size, distance = index.value.found(words)
                     yield pa.record_batch(
                         [
                             batch.column(0).take(pa.array(document + first)),
-                            *(pa.array(x.astype(np.int64)) for x in (index.value.ids[item], at, size, distance)),
+                            *(pa.array(x.astype(np.int64)) for x in (item, at, size, distance)),
                         ],
                         names=schema.names,
                     )
