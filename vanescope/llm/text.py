@@ -7,6 +7,7 @@ longest document and not the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,9 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 19
 
+# Only the GNU C library has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEP_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -54,6 +58,15 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         end = min(max(end, first + 1), n)
         yield first, end, data[bounds[first] : bounds[end]], bounds[first : end + 1] - bounds[first]
         first = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task and would keep the most
+    that any of its tasks has held, beside those of other tasks and Spark's own."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
