@@ -11,6 +11,10 @@
 Stages 1 to 4 return the columns of their input, also those they don't know; where there is a column
 ``n_chars`` it follows the text. Rows with a NULL id pass stages that decide by id: they cannot be
 told apart from others. Rows that repeat an id share its fate.
+
+Every stage hands texts to Python workers, the last one to two of them for each task. So that an
+executor's memory doesn't hold a whole partition several times over, the stages set the size of a
+batch of rows on its way to a worker, in the session, unless that has set one itself.
 """
 
 from __future__ import annotations
@@ -24,6 +28,14 @@ from vanescope.llm.stored import stored
 
 #: Of the shingles of two near-duplicates together, at least so many are common to both.
 NEAR_PERCENT = 80
+#: Spark's setting for the size of a batch, and about how many bytes a batch has in the stages.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Results don't depend on it; Spark takes the setting when a query runs, so it stays."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -32,6 +44,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     model = language.train(docs)
     if not model.langs:
         # Nothing to learn from: what has a letter has a language, though it cannot be named.
@@ -41,21 +54,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = minhash.near_duplicates(docs, percent=NEAR_PERCENT).where("doc_id IS NOT NULL AND NOT kept")
     return _without(docs, found.select(F.col("doc_id").alias("__gone")).distinct())
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return repeats.cut_repeats(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     leaks = decontam.find_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
     gone = stored(leaks.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct(), "leaks")
     return _without(docs, gone)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return queries.token_digests(bpe.encode(docs, queries.VOCABULARY))
 
 

@@ -114,3 +114,46 @@ def test_texts_stay_without_a_language_to_learn(spark, awkward):
     unnamed = awkward.withColumn("lang", F.lit(None).cast("string"))
     got = corpus_pipeline.language_id(spark, unnamed, SF_DIR)
     assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted((i or 0, t) for i, t in AWKWARD if t and any(c.isalpha() for c in t))
+
+
+def _batch_bytes(df):
+    """Bytes of each batch that workers get of a table."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    return [r.n for r in df.mapInArrow(run, "n long").collect()]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_hand_small_batches_to_workers(spark, documents, tmp_path, name):
+    documents([(i, "one two three " * 1000) for i in range(1000)]).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    whole = spark.read.parquet(str(tmp_path / "docs")).coalesce(1).select("doc_id", "text")
+    setting = corpus_pipeline.BATCH_SETTING
+    spark.conf.unset(setting)
+    try:
+        assert max(_batch_bytes(whole)) > 3 * corpus_pipeline.BATCH_BYTES
+        dict(corpus_pipeline.STAGES)[name](spark, documents([(1, "one two three")]), SF_DIR)
+        sizes = _batch_bytes(whole)
+        assert max(sizes) <= 1.1 * corpus_pipeline.BATCH_BYTES
+        assert sum(sizes) > 3 * corpus_pipeline.BATCH_BYTES
+        # What the session has set itself stays.
+        spark.conf.set(setting, str(1 << 20))
+        dict(corpus_pipeline.STAGES)[name](spark, documents([(1, "one two three")]), SF_DIR)
+        assert max(_batch_bytes(whole)) <= 1.1 * (1 << 20)
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_workers_return_memory_after_each_batch_of_packed_texts(monkeypatch):
+    import pyarrow as pa
+
+    from vanescope.llm import packed
+
+    batch = next(packed._pack([pa.record_batch([pa.array([1, 2]), pa.array(["one", None])], names=["id", "text"])]))
+    returned = []
+    monkeypatch.setattr(packed, "give_back", lambda: returned.append(True), raising=False)
+    assert list(packed.unpacked(batch)) == [(0, b"one"), (1, b"")]
+    assert returned == [True]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from vanescope.llm.text import chunks
+from vanescope.llm.text import chunks, give_back
 
 #: Entries that a worker keeps in each of its two tables of known pre-tokens, and the longest kept.
 KNOWN_ENTRIES = 150_000
@@ -321,6 +321,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 part = batch.slice(first, 256)
                 texts = [codec.decode(ids.as_buffer()) if ids.is_valid else b"" for ids in part.column(at)]
                 yield pa.record_batch([*part.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
+            give_back()
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     return encoded.mapInArrow(run, schema)

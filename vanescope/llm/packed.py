@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanescope.llm.text import chunks
+from vanescope.llm.text import chunks, give_back
 
 #: Bits of the filter: two megabytes, whatever the number of ids.
 FILTER_BITS = 1 << 24
@@ -66,3 +66,4 @@ def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
     for row in range(batch.num_rows):
         n = batch.column(size)[row].as_py()
         yield row, codec.decompress(batch.column(texts)[row].as_buffer(), n, asbytes=True) if n else b""
+    give_back()
