@@ -12,9 +12,10 @@ Stages 1 to 4 return the columns of their input, also those they don't know; whe
 ``n_chars`` it follows the text. Rows with a NULL id pass stages that decide by id: they cannot be
 told apart from others. Rows that repeat an id share its fate.
 
-Every stage hands texts to Python workers, the last one to two of them for each task. So that an
-executor's memory doesn't hold a whole partition several times over, the stages set the size of a
-batch of rows on its way to a worker, in the session, unless that has set one itself.
+Every stage hands texts to Python workers. So that an executor's memory doesn't hold a whole
+partition several times over, the stages set the size of a batch of rows on its way to a worker, in
+the session, unless that has set one itself. No task needs two workers at a time: workers live on
+after their tasks, and a second one for each core would stay beside all later stages.
 """
 
 from __future__ import annotations
@@ -73,7 +74,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
-    return queries.token_digests(bpe.encode(docs, queries.VOCABULARY))
+    # Ids are decoded from a table, by the workers that have encoded them. In one pass either step
+    # would take a worker of its own for each task.
+    return queries.token_digests(stored(bpe.encode(docs, queries.VOCABULARY), "ids"))
 
 
 STAGES = [

@@ -157,3 +157,26 @@ def test_workers_return_memory_after_each_batch_of_packed_texts(monkeypatch):
     monkeypatch.setattr(packed, "give_back", lambda: returned.append(True), raising=False)
     assert list(packed.unpacked(batch)) == [(0, b"one"), (1, b"")]
     assert returned == [True]
+
+
+def test_no_task_of_a_stage_needs_two_workers(spark, documents):
+    """Python workers of a task live on, so a second one for each core would stay beside later stages."""
+    import re
+
+    for name, stage in corpus_pipeline.STAGES:
+        df = stage(spark, documents([(1, "one two three"), (2, "four five six")]), SF_DIR)
+        # What stands between exchanges runs in the same tasks.
+        for part in re.split(r"Exchange|QueryStage", df._jdf.queryExecution().executedPlan().toString()):
+            assert len(re.findall(r"(?:Map|FlatMap\w+)In(?:Arrow|Pandas)|BatchEvalPython|ArrowEvalPython", part)) <= 1, name
+
+
+def test_ids_are_read_back_to_be_decoded(spark, documents):
+    import hashlib
+
+    rows = [(1, "one two three"), (1, "one two three"), (None, "h\u00e9 \U0001f600"), (2, ""), (3, None)]
+    got = corpus_pipeline.tokens(spark, documents(rows), SF_DIR)
+    want = [hashlib.sha256((text or "").encode()).hexdigest() for _, text in rows]
+    assert sorted((r.doc_id or 0, r.decoded_sha256) for r in got.collect()) == sorted((i or 0, w) for (i, _), w in zip(rows, want))
+    # Each table file that the result reads holds the ids and nothing of the texts.
+    assert got.inputFiles()
+    assert spark.read.parquet(*got.inputFiles()).columns == ["doc_id", "ids"]
